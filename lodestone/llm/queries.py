@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, sentencepiece_codec, token_counts, toxicity
+from . import secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity
 
 MODEL = "piece_bpe_32k.model"
 
@@ -20,6 +20,14 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"), MODEL)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.from_labels(docs, _table(spark, sf_dir, "labels"))
@@ -46,6 +54,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_substring_dedup": op3_substring_dedup,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_secrets": op9_secrets,
         "op10_token_counts": op10_token_counts,
