@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: key characters, context words and path words
-CANDIDATE = r"[A-Za-z0-9_+/\-]{12,}"
+CANDIDATE = r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{12,}+"
+KNOWN = "AKIA|ASIA|AIza|eyJ"
 SECRET_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret)"
 DIGEST_WORDS = r"(?i)(sha-?\d*|md5|commit|checksum|digest|etag|revision|rev|uuid|guid|hash|fingerprint|integrity|blob)"
 TEST_PATHS = r"(?i)(test|spec|example|sample|fixture|mock|demo|doc)"
@@ -183,9 +184,12 @@ def _judged(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None
     as structs of value, left, right, probability)."""
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit("")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # a candidate holds a digit or a known beginning: digit-free words are text
-    useful = lambda v: v.rlike(r"[0-9]|^(AKIA|ASIA|AIza|eyJ)")
-    got = docs.withColumn("__path", path).withColumn("__v", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
+    # a candidate holds a digit or a known beginning: digit-free words are text,
+    # and so are whole texts with neither
+    useful = lambda v: v.rlike(f"[0-9]|^({KNOWN})")
+    got = docs.withColumn("__path", path).withColumn(
+        "__v", F.when(text.rlike(f"[0-9]|{KNOWN}"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
+    )
     got = got.withColumn("__t", F.when(F.exists("__v", useful), F.split(text, CANDIDATE, -1)))
     got = got.withColumn(
         "__v",
@@ -215,7 +219,6 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = 0.5, text_col: str
     made = ("value", "left", "right", "start", "probability")
     keep = [c for c in docs.columns if c != text_col and c not in made]
     got = _judged(docs.select(*keep, text_col) if path_col in keep or not path_col or path_col not in docs.columns else docs, forest, text_col, path_col)
-    got = got.where(F.exists("__v", lambda x: x["probability"] >= threshold))
     numbered = F.filter(
         F.transform("__v", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda y: y["x"]["probability"] >= threshold
     )
@@ -223,7 +226,8 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = 0.5, text_col: str
     start = total(F.transform(F.slice("__t", F.lit(1), F.col("y.i") + 1), lambda s: F.length(s))) + total(
         F.transform(F.slice("__v", F.lit(1), F.col("y.i")), lambda v: F.length(v["value"]))
     )
-    return got.select(*keep, "__t", "__v", F.explode(numbered).alias("y")).select(
+    # outer: an inner explode has its array worked out twice, for a filter below it
+    return got.select(*keep, "__t", "__v", F.explode_outer(numbered).alias("y")).where(F.col("y").isNotNull()).select(
         *keep, F.col("y.x.value").alias("value"), F.col("y.x.left").alias("left"), F.col("y.x.right").alias("right"),
         start.cast("long").alias("start"), F.col("y.x.probability").alias("probability"),
     )
