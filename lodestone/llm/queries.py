@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import ngram_join, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity
 
 MODEL = "piece_bpe_32k.model"
 
@@ -24,6 +24,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(_table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=85)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sentencepiece": op2_sentencepiece,
         "op3_substring_dedup": op3_substring_dedup,
+        "op6_ngram_join": op6_ngram_join,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_secrets": op9_secrets,
