@@ -166,10 +166,10 @@ def _blocks(batches, percent):
     g = t.column("g").to_numpy()
     raw = lambda name: np.frombuffer(b"".join(t.column(name).to_pylist()), np.uint8)
     c = raw("c").reshape(-1, 16)
-    key = np.ascontiguousarray(c).view(">u8")
+    key = np.ascontiguousarray(c).view("<u8")
     n, place = t.column("n").to_numpy(), t.column("place").to_numpy()
     bits = raw("bits").reshape(len(n), -1).view("<u8")
-    label = np.frombuffer(b"".join(t.column("label").to_pylist()), ">u8").reshape(-1, 2) if "label" in t.column_names else None
+    label = np.frombuffer(b"".join(t.column("label").to_pylist()), "<u8").reshape(-1, 2) if "label" in t.column_names else None
     order = np.lexsort((key[:, 1], key[:, 0], n, g))
     g, key, n, place, bits = g[order], key[order], n[order], place[order], bits[order]
     new = np.ones(len(g), bool)
@@ -204,7 +204,7 @@ def _out(a, b, g=None, block=None) -> pa.RecordBatch:
 def _once(a: list, b: list) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of a partition."""
     x = np.concatenate([np.concatenate(a), np.concatenate(b)], axis=1)
-    x = np.unique(np.ascontiguousarray(x).view("V32").ravel()).view(">u8").reshape(-1, 4)
+    x = np.unique(np.ascontiguousarray(x).view("V32").ravel()).view("<u8").reshape(-1, 4)
     return np.ascontiguousarray(x[:, :2]), np.ascontiguousarray(x[:, 2:])
 
 

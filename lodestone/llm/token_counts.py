@@ -115,7 +115,7 @@ def count_tokens(
 
     def encode(batches):
         count = counter(tokenizer)
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", 256 << 10):
             n = count(column(b, "text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [column(b, "content"), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())],
