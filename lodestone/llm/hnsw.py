@@ -180,7 +180,7 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     shards = max(1, -(-good.count() // shard_rows))
     dealt = good.withColumn("shard", F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(shards)).cast("int"))
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         lists = table.column("vec").combine_chunks()
         size = np.diff(lists.offsets.to_numpy())
         ids = table.column("id").to_numpy()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import hnsw, ngram_join, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 
@@ -16,6 +16,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return warc.read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("error").alias("read_error")
+    )
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages WHERE page_id IS NOT NULL),
+h AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS x FROM p),
+b AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS first FROM h)
+SELECT page_id, payload_bytes,
+""" + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(x, {5 * (i // 4) + 1}, 5))::BIGINT >> {15 - 5 * (i % 4)}) & 31)::INT, 1)"
+    for i in range(32)
+) + """ AS payload_digest,
+CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to,
+NULL::VARCHAR AS read_error
+FROM b
+"""
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"), MODEL)
 
@@ -24,6 +47,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return hnsw.search(hnsw.build_index(rows), rows.where(F.col("vec_id") % 100 == 0), k=10, ef=256)
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(_table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=85)
 
@@ -57,8 +85,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_substring_dedup": op3_substring_dedup,
+        "op5_hnsw": op5_hnsw,
         "op6_ngram_join": op6_ngram_join,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_toxicity": op8_toxicity,
@@ -68,4 +98,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc": OP1_SQL}
