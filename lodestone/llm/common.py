@@ -71,7 +71,7 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]], offs - offs[0]
 
 
-def chunks(batches, text_col: str, limit: int = 4 << 20):
+def chunks(batches, text_col: str, limit: int = 2 << 20):
     """Slices of record batches with about ``limit`` bytes of text each.  One
     longer document makes a chunk of its own: texts are never cut."""
     for batch in batches:
@@ -106,7 +106,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept for the next chunk."""
     have = _pow.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(10, int(n - 1).bit_length())
+        size = -(-n >> 18) << 18
         have = np.empty(size, np.uint64)
         have[0] = 1
         done = 1

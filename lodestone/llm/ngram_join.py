@@ -14,10 +14,10 @@ by block, and entries below the bounds that both sizes set are discarded:
 * What is left is multiplied exactly: the rows of one class against those of
   its partners, overlap counts compared with the least overlap of both sizes.
 
-A column in which many pairs are left (a group of near copies) first yields a
-star per centre.  Pairs that those links do not connect come up in a second
-round, all of them, so components are exact while links inside a component need
-not all be made.
+Products come in two rounds.  The first has one pair per class, and of a column
+in which very many pairs are left (a group of near copies) a star per centre.
+Pairs that those links do not connect have theirs in the second round, all of
+them, so components are exact while links inside one need not all be made.
 
 Words: A-Z lower-cased, runs of bytes other than 0x20 and 0x09-0x0D.  Texts of
 fewer words than n are one n-gram; null and empty texts have none and link with
@@ -321,17 +321,26 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
         .join(linked.select("id", "c"), "c").groupBy("c").agg(F.min("id").alias("id"))
     )
     texts = written(docs.join(one, "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
-    edges = written(_product(pairs, texts, k, percent), "ngram-links")
-    labels = components(edges)
+    # first one pair per class; pairs that those links connect need no product
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    edges = written(_product(first, texts, k, percent), "ngram-links")
+    labels = written(components(edges), "ngram-labels")
+    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    rest = (
+        pairs.join(name("a"), "a", "left").join(name("b"), "b", "left")
+        .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+    )
     heavy = found.where("g is not null").drop("b").withColumnRenamed("a", "c")
     if heavy.take(1):
         again = heavy.join(labels, heavy["c"] == labels["node"], "left").select(
             "g", "c", "n", "place", "bits", F.coalesce("label", "c").alias("label")
         )
-        more = again.repartition(n, "g").mapInArrow(_second_round(percent), OUT).select("a", "b").distinct()
-        more = written(_product(more, texts, k, percent), "ngram-links")
+        rest = rest.unionByName(again.repartition(n, "g").mapInArrow(_second_round(percent), OUT).select("a", "b"))
+    rest = written(rest.distinct().join(first, ["a", "b"], "left_anti"), "ngram-rest")
+    if rest.take(1):
+        more = written(_product(rest, texts, k, percent), "ngram-links")
         if more.take(1):
-            labels = components(edges.unionByName(more))
+            labels = written(components(edges.unionByName(more)), "ngram-labels")
     named = info.select("id", "n", "c").join(labels, info["c"] == labels["node"], "left").select(
         "id", "n", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("label")
     )

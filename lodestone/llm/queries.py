@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hnsw, ngram_join, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity, warc
+from . import decontaminate, hnsw, ngram_join, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 
@@ -47,6 +47,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return hnsw.search(hnsw.build_index(rows), rows.where(F.col("vec_id") % 100 == 0), k=10, ef=256)
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": op1_warc,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_decontamination": op4_decontamination,
         "op5_hnsw": op5_hnsw,
         "op6_ngram_join": op6_ngram_join,
         "op7_suffix_dedup": op7_suffix_dedup,

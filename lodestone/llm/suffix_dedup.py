@@ -40,7 +40,7 @@ from .positions import SCHEMA, deal, gather, join_parts, judge, pack_sorted, spl
 from .substring_dedup import _keyed, doc_notes, read_notes
 
 GRAM = 32
-SA_BYTES = 1 << 20  # text of one suffix array; larger anchor groups get a larger one
+SA_BYTES = 512 << 10  # text of one suffix array; larger anchor groups get a larger one
 NOWHERE = 256  # "byte" before a document's first; 257: different bytes
 
 
@@ -103,12 +103,22 @@ class Pieces:
         cols = {k: np.concatenate([np.frombuffer(p[i].tobytes(), t) for p in parts]) for i, (k, t) in enumerate(cls.KINDS)}
         return cls(cols, np.concatenate([p[-1] for p in parts]), length)
 
+    def hashes(self) -> np.ndarray:
+        """Content hash of each piece, a megabyte of them at a time."""
+        a, z = self.bounds()
+        out = np.empty(len(a), np.uint64)
+        i = 0
+        while i < len(a):
+            j = max(i + 1, int(np.searchsorted(z, a[i] + (1 << 20), side="right")))
+            out[i:j] = span_hash(prefix_sums(self.text[a[i] : z[j - 1]]), a[i:j] - a[i], z[i:j] - a[i])
+            i = j
+        return out
+
     def collapse(self):
         """(distinct pieces with their earliest place, group of each piece,
         index of the earliest of each group)."""
-        a, z = self.bounds()
         c = self.cols
-        h = mix(span_hash(prefix_sums(self.text), a, z) + c["off"].astype(np.uint64) * COEF[2] ^ c["anchor"])
+        h = mix(self.hashes() + c["off"].astype(np.uint64) * COEF[2] ^ c["anchor"])
         order = np.lexsort((c["start"], c["id"], 1 - c["null"].astype(np.int8), h))
         sh = h[order]
         new = np.ones(len(sh), bool)
@@ -250,6 +260,7 @@ def _pieces(keyed: DataFrame, length: int, all_copies: bool) -> DataFrame:
     """Steps 1 and 2: packed pieces of repeated anchors by bucket (kind 0) and,
     unless all copies are wanted, the copies within a task (kind 2)."""
     n = width(keyed.sparkSession)
+    fine = 4 * n  # buckets of pieces: a task works through several, one by one
 
     def anchors(batches):
         part, at = TaskContext.get().partitionId(), 0
@@ -325,10 +336,10 @@ def _pieces(keyed: DataFrame, length: int, all_copies: bool) -> DataFrame:
                 same = np.ones(len(ps), bool)
                 same[np.flatnonzero(other)[late]] = False
                 ps = ps.take(np.flatnonzero(same))
-            bucket = ((ps.cols["anchor"] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+            bucket = ((ps.cols["anchor"] >> np.uint64(32)) * np.uint64(fine)) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(n + 1, dtype=np.uint64))
-            for x in range(n):
+            edges = np.searchsorted(bucket[order], np.arange(fine + 1, dtype=np.uint64))
+            for x in range(fine):
                 if edges[x] < edges[x + 1]:
                     items.append((x, 0, 0, ps.take(order[edges[x] : edges[x + 1]]).dump()))
             k, s, t, v = zip(*items) if items else ((), (), (), ())
