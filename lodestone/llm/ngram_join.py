@@ -160,9 +160,10 @@ class _Block:
 
 def _blocks(batches, percent):
     """Columns of a partition.  Equal classes of a column are one entry."""
-    t = pa.Table.from_batches(batches)
-    if not t.num_rows:
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
         return
+    t = pa.Table.from_batches(batches)
     g = t.column("g").to_numpy()
     raw = lambda name: np.frombuffer(b"".join(t.column(name).to_pylist()), np.uint8)
     c = raw("c").reshape(-1, 16)
