@@ -9,8 +9,10 @@ by block, and entries below the bounds that both sizes set are discarded:
   columns are dealt out by n-gram; columns with one class in them go.
 * In a column's block, pairs are bounded by their sizes, by the places of the
   shared n-gram, and by the bits in which their parity sketches differ (each
-  bit stands for at least one n-gram that only one side has).  None of the
-  three discards a pair that links.
+  bit stands for at least one n-gram that only one side has).  None of these
+  bounds, nor the next, discards a pair that links.
+* The pairs' fronts of the common order, the n-grams up to the smaller end
+  known in full, bound the overlap once more.
 * What is left is multiplied exactly: the rows of one class against those of
   its partners, overlap counts compared with the least overlap of both sizes.
 
@@ -275,35 +277,88 @@ def _second_round(percent):
     return run
 
 
-def _product(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by exact overlap counts.  Blocks of 256
-    partners of one class; a popular class is in many blocks."""
+def _met(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows of ``table`` (by c) where the pairs need them: blocks of 256 partners
+    of one class, the class first.  A popular class is in many blocks."""
     n = width(pairs.sparkSession)
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("m"))
     left = blocks.select("a", F.col("a").alias("c"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("s"))
     right = pairs.join(blocks, "a").select("a", F.col("b").alias("c"), F.pmod(F.xxhash64("b"), F.col("m")).cast("int").alias("s"))
-    rows = left.unionByName(right).join(texts, "c").repartition(n, "a", "s").sortWithinPartitions("a", "s", (F.col("c") != F.col("a")))
+    return left.unionByName(right).join(table, "c").repartition(n, "a", "s").sortWithinPartitions("a", "s", (F.col("c") != F.col("a")))
+
+
+def _per_block(items, links):
+    """Pairs of a sorted stream of (a, s, c, value) for which links(own, other)."""
+    head, own = None, None
+    for a, s, c, x in items:
+        if a == c:
+            head, own = (a, s), x
+        elif head != (a, s):
+            raise RuntimeError("a block came without its class")
+        elif links(own, x):
+            yield a, c
+
+
+def _pairs_out(pairs: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], ["a", "b"])
+
+
+def _bounded(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their fronts let link.  Below the smaller of both fronts'
+    ends all n-grams are known; the overlap is at most what is shared there and
+    all that is left of the smaller rest."""
+
+    def links(x, y):
+        (n, f), (m, g) = x, y
+        t = min(f[-1], g[-1])
+        a, b = int(np.searchsorted(f, t)), int(np.searchsorted(g, t))
+        both = int((g[np.minimum(np.searchsorted(g, f[:a]), len(g) - 1)] == f[:a]).sum())
+        return both + min(n - a, m - b) >= (percent * (n + m) + 99 + percent) // (100 + percent)
 
     def run(batches):
-        head, own = None, None
-        for b in chunks(batches, "text", 1 << 20):
-            g, first = shingle_sets(*text_buffers(column(b, "text")), k)
-            a, c, s = column(b, "a").to_pylist(), column(b, "c").to_pylist(), column(b, "s").to_pylist()
-            out_a, out_b = [], []
-            for i in range(len(a)):
-                x = g[first[i] : first[i + 1]]
-                if a[i] == c[i]:
-                    head, own = (a[i], s[i]), x
-                    continue
-                if head != (a[i], s[i]):
-                    raise RuntimeError("a block came without its class")
-                both = int((own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x).sum()) if len(own) and len(x) else 0
-                if both and 100 * both >= percent * (len(own) + len(x) - both):
-                    out_a.append(a[i])
-                    out_b.append(c[i])
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], ["a", "b"])
-
-    return rows.select("a", "s", "c", "text").mapInArrow(run, "a binary, b binary")
+        def items():
+            for b in batches:
+                for a, s, c, n, f in zip(*(column(b, x).to_pylist() for x in ("a", "s", "c", "n", "front"))):
+                    yield a, s, c, (n, np.frombuffer(f, "<u4"))
+
+        yield _pairs_out(list(_per_block(items(), links)))
+
+    return _met(pairs, fronts).select("a", "s", "c", "n", "front").mapInArrow(run, "a binary, b binary")
+
+
+def _product(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by exact overlap counts."""
+
+    def links(x, y):
+        if not len(x) or not len(y):
+            return False
+        both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    def run(batches):
+        def items():
+            for b in chunks(batches, "text", 1 << 20):
+                g, first = shingle_sets(*text_buffers(column(b, "text")), k)
+                for i, (a, s, c) in enumerate(zip(*(column(b, x).to_pylist() for x in ("a", "s", "c")))):
+                    yield a, s, c, g[first[i] : first[i + 1]]
+
+        yield _pairs_out(list(_per_block(items(), links)))
+
+    return _met(pairs, texts).select("a", "s", "c", "text").mapInArrow(run, "a binary, b binary")
+
+
+def _short_fronts(rows: DataFrame) -> DataFrame:
+    """Fronts by the upper halves of their hashes, which keep the order."""
+
+    def run(batches):
+        for b in batches:
+            f = [(np.frombuffer(x, "<u8") >> np.uint64(32)).astype("<u4").tobytes() for x in column(b, "front").to_pylist()]
+            yield pa.RecordBatch.from_arrays([column(b, "c"), column(b, "id"), column(b, "n"), pa.array(f, pa.binary())], ["c", "id", "n", "front"])
+
+    return rows.select("c", "id", "n", "front").mapInArrow(run, "c binary, id long, n long, front binary")
+
+
+BROADCAST_ROWS = 200_000  # of 24 bytes: larger tables of candidates are shuffled
 
 
 def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -315,13 +370,17 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     info = written(_describe(docs, k, percent), "ngram-info")
     linked = info.where(F.col("id").isNotNull() & (F.col("n") > 0))
     found = written(_columns(linked).repartition(n, "g").mapInArrow(_first_round(percent), OUT), "ngram-pairs")
-    pairs = found.where("g is null").select("a", "b").distinct()
     # one text of every class in a pair; the second round has no others
-    one = (
-        found.where("g is null").select(F.explode(F.array("a", "b")).alias("c")).distinct()
-        .join(linked.select("id", "c"), "c").groupBy("c").agg(F.min("id").alias("id"))
-    )
-    texts = written(docs.join(one, "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
+    wanted = found.where("g is null").select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    one = linked.select("c", "id", "n", "front").join(wanted, "c").groupBy("c").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front")
+    )
+    one = written(_short_fronts(one), "ngram-fronts")
+    ids = one.select("c", "id")
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    texts = written(docs.join(ids, "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
+    pairs = written(_bounded(found.where("g is null").select("a", "b").distinct(), one, percent), "ngram-bounded")
     # first one pair per class; pairs that those links connect need no product
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     edges = written(_product(first, texts, k, percent), "ngram-links")
@@ -337,7 +396,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
             "g", "c", "n", "place", "bits", F.coalesce("label", "c").alias("label")
         )
         rest = rest.unionByName(again.repartition(n, "g").mapInArrow(_second_round(percent), OUT).select("a", "b"))
-    rest = written(rest.distinct().join(first, ["a", "b"], "left_anti"), "ngram-rest")
+    rest = written(_bounded(rest.distinct().join(first, ["a", "b"], "left_anti"), one, percent), "ngram-rest")
     if rest.take(1):
         more = written(_product(rest, texts, k, percent), "ngram-links")
         if more.take(1):
