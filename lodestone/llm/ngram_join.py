@@ -16,10 +16,11 @@ by block, and entries below the bounds that both sizes set are discarded:
 * What is left is multiplied exactly: the rows of one class against those of
   its partners, overlap counts compared with the least overlap of both sizes.
 
-Products come in two rounds.  The first has one pair per class, and of a column
-in which very many pairs are left (a group of near copies) a star per centre.
-Pairs that those links do not connect have theirs in the second round, all of
-them, so components are exact while links inside one need not all be made.
+Products come in rounds.  The first has one pair per class, and of a column in
+which very many pairs are left (a group of near copies) a star per centre.  Up
+to three more take one pair per entry of such columns whose components differ.
+The last has all pairs that no link connects yet, so components are exact while
+links inside one need not all be made.
 
 Words: A-Z lower-cased, runs of bytes other than 0x20 and 0x09-0x0D.  Texts of
 fewer words than n are one n-gram; null and empty texts have none and link with
@@ -252,8 +253,9 @@ def _first_round(percent):
     return run
 
 
-def _second_round(percent):
-    """Pairs of a heavy column that are not connected yet, all of them."""
+def _second_round(percent, every: bool):
+    """Pairs of a heavy column that are not connected yet: all of them, or for
+    each entry one with the column's commonest component and one other."""
 
     def run(batches):
         a, b = [], []
@@ -263,12 +265,14 @@ def _second_round(percent):
                 continue
             common = np.bincount(name).argmax()
             most = np.flatnonzero(name == common)
-            for i in np.flatnonzero(name != common):
-                j = np.concatenate([most, np.flatnonzero((name != common) & (name != name[i]) & (np.arange(len(name)) > i))])
-                j = j[x.may(i, j)]
-                if len(j):
-                    a.append(np.repeat(x.c[i : i + 1], len(j), axis=0))
-                    b.append(x.c[j])
+            other = np.flatnonzero(name != common)
+            for i in other:
+                for j in (most, other[(name[other] != name[i]) & (other > i)]):
+                    j = j[x.may(i, j)] if len(j) else j
+                    if len(j):
+                        j = j if every else j[:1]
+                        a.append(np.repeat(x.c[i : i + 1], len(j), axis=0))
+                        b.append(x.c[j])
         if a:
             p, q = _once(a, b)
             for i in range(0, len(p), 20000):
@@ -385,17 +389,26 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     edges = written(_product(first, texts, k, percent), "ngram-links")
     labels = written(components(edges), "ngram-labels")
+    heavy = found.where("g is not null").drop("b").withColumnRenamed("a", "c")
+    crowded = bool(heavy.take(1))
+
+    def apart(every: bool) -> DataFrame:
+        again = heavy.join(labels, heavy["c"] == labels["node"], "left").select("g", "c", "n", "place", "bits", F.coalesce("label", "c").alias("label"))
+        return again.repartition(n, "g").mapInArrow(_second_round(percent, every), OUT).select("a", "b").distinct()
+
+    for _ in range(3 if crowded else 0):  # a few links each, while they connect more
+        more = written(_product(_bounded(apart(False), one, percent), texts, k, percent), "ngram-links")
+        if not more.take(1):
+            break
+        edges = edges.unionByName(more)
+        labels = written(components(edges), "ngram-labels")
     name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
     rest = (
         pairs.join(name("a"), "a", "left").join(name("b"), "b", "left")
         .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
     )
-    heavy = found.where("g is not null").drop("b").withColumnRenamed("a", "c")
-    if heavy.take(1):
-        again = heavy.join(labels, heavy["c"] == labels["node"], "left").select(
-            "g", "c", "n", "place", "bits", F.coalesce("label", "c").alias("label")
-        )
-        rest = rest.unionByName(again.repartition(n, "g").mapInArrow(_second_round(percent), OUT).select("a", "b"))
+    if crowded:
+        rest = rest.unionByName(apart(True))
     rest = written(_bounded(rest.distinct().join(first, ["a", "b"], "left_anti"), one, percent), "ngram-rest")
     if rest.take(1):
         more = written(_product(rest, texts, k, percent), "ngram-links")
