@@ -6,21 +6,21 @@ by block, and entries below the bounds that both sizes set are discarded:
 * Documents are taken as classes of equal n-gram sets.
 * A pair can only reach the threshold if it shares one of each side's first
   n - ceil(t n) + 1 n-grams in a common order (here, of their hashes).  Those
-  columns are dealt out by n-gram; columns with one class in them go.
-* In a column's block, pairs are bounded by their sizes, by the places of the
-  shared n-gram, and by the bits in which their parity sketches differ (each
-  bit stands for at least one n-gram that only one side has).  None of these
-  bounds, nor the next, discards a pair that links.
+  columns are dealt out by n-gram; columns with one class in them go.  Columns
+  of the same rows come into one block.
+* In a block, pairs that share a column are bounded by their sizes, by the
+  places of the shared n-gram, and by the bits in which their parity sketches
+  differ (each bit stands for at least one n-gram that only one side has).
 * The pairs' fronts of the common order, the n-grams up to the smaller end
   known in full, bound the overlap once more.
 * What is left is multiplied exactly: the rows of one class against those of
   its partners, overlap counts compared with the least overlap of both sizes.
 
-Products come in rounds.  The first has one pair per class, and of a column in
-which very many pairs are left (a group of near copies) a star per centre.  Up
-to three more take one pair per entry of such columns whose components differ.
-The last has all pairs that no link connects yet, so components are exact while
-links inside one need not all be made.
+None of the bounds discards a pair that links.  Products come in rounds.  The
+first has a forest of each block: pairs that connect all rows that the bounds
+let link.  Up to two more take one or two pairs per row that is not connected
+yet.  The last has all pairs that no link connects, so components are exact
+while links inside one need not all be made.
 
 Words: A-Z lower-cased, runs of bytes other than 0x20 and 0x09-0x0D.  Texts of
 fewer words than n are one n-gram; null and empty texts have none and link with
@@ -40,8 +40,7 @@ from .common import COEF, LOWER, chunks, column, mix, ranges, text_buffers, widt
 from .components import components
 from .positions import SCHEMA, deal, gather, join_parts, judge, split_parts
 
-WORDS = 8  # 64-bit words of a parity sketch
-SPREAD = 8  # pairs per class up to which a column's pairs are all made at once
+BITS = 512  # least bits of a parity sketch; larger sets have 4 to 8 for each n-gram
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int):
@@ -75,13 +74,14 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             doc = np.repeat(np.arange(len(n)), n)
             some = np.flatnonzero(n > 0)
             s = np.zeros((len(n), 2), np.uint64)
-            bits = np.zeros((len(n), WORDS), np.uint64)
+            wide = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+            edge = np.concatenate([[0], np.cumsum(wide)])
+            sketch = np.zeros(edge[-1] // 8, np.uint8)
             if len(g):
                 s[some, 0] = np.add.reduceat(mix(g * COEF[20]), first[some])
                 s[some, 1] = np.add.reduceat(mix(g ^ COEF[21]), first[some])
-                bit = (mix(g * COEF[22]) >> np.uint64(40)).astype(np.int64) % (64 * WORDS)
-                flat = np.bincount(doc * (64 * WORDS) + bit, minlength=len(n) * 64 * WORDS) & 1
-                bits = np.packbits(flat.astype(np.uint8).reshape(-1, 64 * WORDS), axis=1)
+                bit = edge[doc] + ((mix(g * COEF[22]) >> np.uint64(24)).astype(np.int64) & (wide[doc] - 1))
+                sketch = np.packbits((np.bincount(bit, minlength=edge[-1]) & 1).astype(np.uint8))
             need = n - (n * percent + 99) // 100 + 1
             need[n == 0] = 0
             front = g[ranges(first[:-1], need)].astype("<u8")
@@ -89,17 +89,18 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     column(b, "id"), pa.array(n, pa.int64()),
-                    pa.array([r.tobytes() for r in s], pa.binary()), pa.array([r.tobytes() for r in bits], pa.binary()),
+                    pa.array([r.tobytes() for r in s], pa.binary()), pa.array([sketch[i // 8 : j // 8].tobytes() for i, j in zip(edge[:-1], edge[1:])], pa.binary()),
                     pa.array([front[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
                 ],
-                ["id", "n", "c", "bits", "front"],
+                ["id", "n", "c", "sketch", "front"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, c binary, bits binary, front binary")
+    return docs.mapInArrow(run, "id long, n long, c binary, sketch binary, front binary")
 
 
-def _columns(info: DataFrame) -> DataFrame:
-    """Entries of columns that several rows share: g, c, n, place, bits."""
+def _entries(info: DataFrame) -> DataFrame:
+    """Entries of columns that several rows share: g, c, place, low (the
+    smallest such column of the row)."""
     buckets = width(info.sparkSession)
 
     def put(batches):
@@ -110,7 +111,7 @@ def _columns(info: DataFrame) -> DataFrame:
                 front = column(x, "front").to_pylist()
                 keys = np.frombuffer(b"".join(front), "<u8")
                 size = np.array([len(f) // 8 for f in front])
-                notes = join_parts(b"".join(column(x, "c").to_pylist()), b"".join(column(x, "bits").to_pylist()), column(x, "n").to_numpy().astype("<i8").tobytes(), size.astype("<i8").tobytes())
+                notes = join_parts(b"".join(column(x, "c").to_pylist()), size.astype("<i8").tobytes())
                 yield deal((part << 32) + at, np.arange(len(keys)), keys.copy(), buckets, 4, notes)
                 at += 1
 
@@ -121,162 +122,179 @@ def _columns(info: DataFrame) -> DataFrame:
         for _, notes, pos, ids in gather(batches, True):
             if notes is None or not len(pos):
                 continue
-            c, bits, n, size = split_parts(notes)
-            n, size = np.frombuffer(n.tobytes(), "<i8"), np.frombuffer(size.tobytes(), "<i8")
-            c, bits = c.reshape(len(n), 16), bits.reshape(len(n), 8 * WORDS)
+            c, size = split_parts(notes)
+            size = np.frombuffer(size.tobytes(), "<i8")
+            c = c.reshape(len(size), 16)
             first = np.concatenate([[0], np.cumsum(size)])
             row = np.searchsorted(first, pos, side="right") - 1
-            fixed = lambda a, w: pa.Array.from_buffers(pa.binary(w), len(a), [None, pa.py_buffer(np.ascontiguousarray(a))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids.view(np.int64)), fixed(c[row], 16), pa.array(n[row]), pa.array(pos - first[row]), fixed(bits[row], 8 * WORDS)],
-                ["g", "c", "n", "place", "bits"],
-            )
+            g = ids.view(np.int64)
+            at = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            low = np.repeat(np.minimum.reduceat(g, at), np.diff(np.append(at, len(row))))
+            keys = pa.Array.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(np.ascontiguousarray(c[row]))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(g), keys, pa.array(pos - first[row]), pa.array(low)], ["g", "c", "place", "low"])
 
     return (
         info.mapInArrow(put, SCHEMA)
         .repartition(buckets, "key").mapInArrow(judged, SCHEMA)
-        .repartition(buckets, "src").mapInArrow(entries, "g long, c binary, n long, place long, bits binary")
+        .repartition(buckets, "src").mapInArrow(entries, "g long, c binary, place long, low long")
     )
 
 
-class _Block:
-    """One column's entries, in the order of size and class."""
+def _blocks_of(info: DataFrame) -> DataFrame:
+    """Blocks of the matrix: key, c, n, sketch, cols (array of g and place).
+
+    A column belongs to the block of the smallest column of any of its rows.
+    Near copies share nearly all columns, which so come into one block, where
+    each of their pairs is met once."""
+    e = _entries(info).groupBy("g", "c").agg(F.min("place").alias("place"), F.min("low").alias("low"))  # rows of one class are one
+    keys = e.groupBy("g").agg(F.min("low").alias("key"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    rows = e.join(keys.select("g", "key"), "g").groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("cols"))
+    sketches = info.groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    return rows.join(sketches, "c").select("key", "c", "n", "sketch", "cols")
 
-    def __init__(self, c, n, place, bits, percent):
-        self.c, self.n, self.place, self.bits, self.percent = c, n, place, bits, percent
 
-    def may(self, i, j) -> np.ndarray:
-        """Whether the bounds let entries i and j link."""
+class _Block:
+    """A block's rows in the order of size and class, and its entries by column."""
+
+    def __init__(self, c, n, sketches, row, g, place, percent):
+        self.c, self.n, self.percent = c, n, percent
+        order = np.lexsort((row, g))
+        self.row, self.place, g = row[order], place[order], g[order]
+        self.cut = np.append(np.flatnonzero(np.append(True, g[1:] != g[:-1])), len(g))
+        self.raw = [np.frombuffer(x, "<u8") for x in sketches]
+        self.wide = np.array([len(x) for x in self.raw])
+        self.folded: dict[int, tuple] = {}
+
+    def _sketch(self, w: int, rows: np.ndarray) -> np.ndarray:
+        """Sketches folded to w words: of a power of two in size, halves add up."""
+        if w not in self.folded:
+            has = np.flatnonzero(self.wide >= w)
+            at = np.full(len(self.n), -1)
+            at[has] = np.arange(len(has))
+            self.folded[w] = at, np.array([np.bitwise_xor.reduce(self.raw[k].reshape(-1, w), axis=0) for k in has])
+        at, m = self.folded[w]
+        return m[at[rows]]
+
+    def may(self, i: int, j: np.ndarray, pi: int, pj: np.ndarray) -> np.ndarray:
+        """Whether the bounds let row i link with rows j that share a column, at
+        these places of their fronts."""
         n, m, p = self.n[i], self.n[j], self.percent
         need = (p * (n + m) + 99 + p) // (100 + p)
-        ok = (np.minimum(n, m) * 100 >= p * np.maximum(n, m)) & (
-            np.minimum(self.place[i], self.place[j]) + 1 + np.minimum(n - 1 - self.place[i], m - 1 - self.place[j]) >= need
-        )
-        # sketches last, and only where still needed
-        i, j, ok = *np.broadcast_arrays(i, j), np.array(ok)
-        at = np.nonzero(ok)
-        a, b = i[at], j[at]
-        apart = np.bitwise_count(self.bits[a] ^ self.bits[b]).sum(axis=-1, dtype=np.int64)
-        ok[at] = (self.n[a] + self.n[b] - apart) // 2 >= need[at]
+        ok = (np.minimum(n, m) * 100 >= p * np.maximum(n, m)) & (np.minimum(pi, pj) + 1 + np.minimum(n - 1 - pi, m - 1 - pj) >= need)
+        at = np.flatnonzero(ok)
+        w = np.minimum(self.wide[i], self.wide[j[at]])
+        for one in np.unique(w):
+            k = at[w == one]
+            for s in range(0, len(k), 4096):
+                q = k[s : s + 4096]
+                apart = np.bitwise_count(self._sketch(one, j[q]) ^ self._sketch(one, np.array([i]))).sum(axis=1, dtype=np.int64)
+                ok[q] = (n + m[q] - apart) // 2 >= need[q]
         return ok
 
+    def columns(self):
+        for a, z in zip(self.cut[:-1], self.cut[1:]):
+            if z - a > 1:
+                yield self.row[a:z], self.place[a:z]
+
 
 def _blocks(batches, percent):
-    """Columns of a partition.  Equal classes of a column are one entry."""
+    """(labels or None, block) of each block of a partition."""
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
     t = pa.Table.from_batches(batches)
-    g = t.column("g").to_numpy()
-    raw = lambda name: np.frombuffer(b"".join(t.column(name).to_pylist()), np.uint8)
-    c = raw("c").reshape(-1, 16)
-    key = np.ascontiguousarray(c).view("<u8")
-    n, place = t.column("n").to_numpy(), t.column("place").to_numpy()
-    bits = raw("bits").reshape(len(n), -1).view("<u8")
-    label = np.frombuffer(b"".join(t.column("label").to_pylist()), "<u8").reshape(-1, 2) if "label" in t.column_names else None
-    order = np.lexsort((key[:, 1], key[:, 0], n, g))
-    g, key, n, place, bits = g[order], key[order], n[order], place[order], bits[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (key[1:] != key[:-1]).any(axis=1)
-    if label is not None:
-        label = label[order][new]
-    g, key, n, place, bits = g[new], key[new], n[new], place[new], bits[new]
-    at = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-    for i, j in zip(at, np.append(at[1:], len(g))):
-        if j - i > 1:
-            yield g[i], label[i:j] if label is not None else None, _Block(key[i:j], n[i:j], place[i:j], bits[i:j], percent)
-
-
-OUT = "a binary, b binary, g long, n long, place long, bits binary"
-
-
-def _out(a, b, g=None, block=None) -> pa.RecordBatch:
-    def keys(x):
-        return pa.array([r.tobytes() for r in x], pa.binary())
-
-    if block is None:
-        none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-        cols = [keys(a), keys(b), *none]
-    else:
-        cols = [
-            keys(block.c), pa.nulls(len(block.c), pa.binary()), pa.array(np.full(len(block.c), g)), pa.array(block.n), pa.array(block.place),
-            pa.array([r.tobytes() for r in block.bits], pa.binary()),
-        ]
-    return pa.RecordBatch.from_arrays(cols, ["a", "b", "g", "n", "place", "bits"])
-
-
-def _once(a: list, b: list) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(t.column("key").to_numpy(), kind="stable")
+    keys = t.column("key").to_numpy()[order]
+    at = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
+    for a, z in zip(at[:-1], at[1:]):
+        if z - a < 2:
+            continue
+        x = t.take(pa.array(order[a:z])).combine_chunks()
+        n = x.column("n").to_numpy()
+        c = np.frombuffer(b"".join(x.column("c").to_pylist()), "<u8").reshape(-1, 2)
+        by = np.lexsort((c[:, 1], c[:, 0], n))
+        place_of = np.empty(len(by), np.int64)
+        place_of[by] = np.arange(len(by))
+        cols = x.column("cols").combine_chunks()
+        size = np.diff(cols.offsets.to_numpy())
+        flat = cols.flatten()
+        sketches = x.column("sketch").to_pylist()
+        block = _Block(c[by], n[by], [sketches[k] for k in by], place_of[np.repeat(np.arange(len(size)), size)], flat.field("g").to_numpy(), flat.field("place").to_numpy(), percent)
+        label = None
+        if "label" in x.column_names:
+            raw = np.frombuffer(b"".join(x.column("label").to_pylist()), "<u8").reshape(-1, 2)[by]
+            _, label = np.unique(np.ascontiguousarray(raw).view("V16").ravel(), return_inverse=True)
+        yield label, block
+
+
+def _once(a: list, b: list) -> pa.RecordBatch:
     """Distinct pairs of a partition."""
     x = np.concatenate([np.concatenate(a), np.concatenate(b)], axis=1)
-    x = np.unique(np.ascontiguousarray(x).view("V32").ravel()).view("<u8").reshape(-1, 4)
-    return np.ascontiguousarray(x[:, :2]), np.ascontiguousarray(x[:, 2:])
+    x = np.unique(np.ascontiguousarray(x).view("V32").ravel())
+    raw = [v.tobytes() for v in x]
+    return _pairs_out([(v[:16], v[16:]) for v in raw])
+
 
+def _spanning(percent):
+    """Pairs that connect what the bounds let link: a forest of each block."""
 
-def _first_round(percent):
     def run(batches):
         a, b = [], []
-        for g, _, x in _blocks(list(batches), percent):
-            m = len(x.n)
-            pairs, total, rest = [], 0, 0
-            free = np.ones(m, bool)
-            star = []
-            for i in range(m):
-                stop = int(np.searchsorted(x.n, x.n[i] * 100 // percent, side="right"))
-                j = np.arange(i + 1, max(i + 1, stop))
-                j = j[x.may(i, j)] if len(j) else j
-                total += len(j)
-                if total <= SPREAD * m:
-                    pairs.append((i, j))
-                # star: links to whom no centre has reached yet; whoever links
-                # at all gets at least one
-                reach = j[free[j]]
-                if len(j) and not len(reach) and free[i]:
-                    reach = j[:1]
-                if len(reach):
-                    free[reach] = False
-                    free[i] = False
-                    star.append((i, reach))
-                rest = i
-            del rest
-            heavy = total > SPREAD * m
-            for i, j in star if heavy else pairs:
-                if len(j):
-                    a.append(np.repeat(x.c[i : i + 1], len(j), axis=0))
-                    b.append(x.c[j])
-            if heavy:
-                yield _out(None, None, g, x)
+        for _, x in _blocks(list(batches), percent):
+            root = np.arange(len(x.n))
+            for row, place in x.columns():
+                for k in range(len(row) - 1):
+                    i = row[k]
+                    stop = int(np.searchsorted(x.n[row], x.n[i] * 100 // percent, side="right"))
+                    j, pj = row[k + 1 : stop], place[k + 1 : stop]
+                    new = root[j] != root[i]
+                    j, pj = j[new], pj[new]
+                    if not len(j):
+                        continue
+                    j = j[x.may(i, j, place[k], pj)]
+                    if len(j):
+                        _, first = np.unique(root[j], return_index=True)
+                        for r in np.unique(root[j]):
+                            root[root == r] = root[i]
+                        a.append(np.repeat(x.c[i : i + 1], len(first), axis=0))
+                        b.append(x.c[j[first]])
         if a:
-            p, q = _once(a, b)
-            for i in range(0, len(p), 20000):
-                yield _out(p[i : i + 20000], q[i : i + 20000])
+            yield _once(a, b)
 
     return run
 
 
-def _second_round(percent, every: bool):
-    """Pairs of a heavy column that are not connected yet: all of them, or for
-    each entry one with the column's commonest component and one other."""
+def _apart(percent, every: bool):
+    """Pairs whose rows no link connects yet: all that the bounds let link, or
+    of each row at most one with the block's commonest component and one with
+    another."""
 
     def run(batches):
         a, b = [], []
-        for _, label, x in _blocks(list(batches), percent):
-            _, name = np.unique(np.ascontiguousarray(label).view("V16").ravel(), return_inverse=True)
-            if name.max() == 0:
+        for label, x in _blocks(list(batches), percent):
+            if label.max() == 0:
                 continue
-            common = np.bincount(name).argmax()
-            most = np.flatnonzero(name == common)
-            other = np.flatnonzero(name != common)
-            for i in other:
-                for j in (most, other[(name[other] != name[i]) & (other > i)]):
-                    j = j[x.may(i, j)] if len(j) else j
-                    if len(j):
-                        j = j if every else j[:1]
-                        a.append(np.repeat(x.c[i : i + 1], len(j), axis=0))
-                        b.append(x.c[j])
+            common = np.bincount(label).argmax()
+            done: set = set()
+            for row, place in x.columns():
+                own = label[row]
+                if (own == own[0]).all():
+                    continue
+                most = np.flatnonzero(own == common)
+                other = np.flatnonzero(own != common)
+                for k in other:
+                    i = row[k]
+                    for kind, at in ((0, most), (1, other[(own[other] != own[k]) & (other > k)])):
+                        if not len(at) or (not every and (i, kind) in done):
+                            continue
+                        j = row[at][x.may(i, row[at], place[k], place[at])]
+                        if len(j):
+                            done.add((i, kind))
+                            j = j if every else j[:1]
+                            a.append(np.repeat(x.c[i : i + 1], len(j), axis=0))
+                            b.append(x.c[j])
         if a:
-            p, q = _once(a, b)
-            for i in range(0, len(p), 20000):
-                yield _out(p[i : i + 20000], q[i : i + 20000])
+            yield _once(a, b)
 
     return run
 
@@ -373,46 +391,39 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     info = written(_describe(docs, k, percent), "ngram-info")
     linked = info.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    found = written(_columns(linked).repartition(n, "g").mapInArrow(_first_round(percent), OUT), "ngram-pairs")
-    # one text of every class in a pair; the second round has no others
-    wanted = found.where("g is null").select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    one = linked.select("c", "id", "n", "front").join(wanted, "c").groupBy("c").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front")
-    )
+    pair = "a binary, b binary"
+    blocks = written(_blocks_of(linked), "ngram-blocks")
+    forest = written(blocks.repartition(n, "key").mapInArrow(_spanning(percent), pair).distinct(), "ngram-forest")
+    # whoever may link with anyone is in a forest: all others have no part in what follows
+    members = forest.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    one = linked.join(members, "c").groupBy("c").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front"))
     one = written(_short_fronts(one), "ngram-fronts")
+    blocks = written(blocks.join(one.select("c"), "c", "left_semi"), "ngram-blocks")
     ids = one.select("c", "id")
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     texts = written(docs.join(ids, "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
-    pairs = written(_bounded(found.where("g is null").select("a", "b").distinct(), one, percent), "ngram-bounded")
-    # first one pair per class; pairs that those links connect need no product
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    edges = written(_product(first, texts, k, percent), "ngram-links")
-    labels = written(components(edges), "ngram-labels")
-    heavy = found.where("g is not null").drop("b").withColumnRenamed("a", "c")
-    crowded = bool(heavy.take(1))
+
+    def product(pairs: DataFrame) -> DataFrame:
+        return written(_product(pairs, texts, k, percent), "ngram-links")
 
     def apart(every: bool) -> DataFrame:
-        again = heavy.join(labels, heavy["c"] == labels["node"], "left").select("g", "c", "n", "place", "bits", F.coalesce("label", "c").alias("label"))
-        return again.repartition(n, "g").mapInArrow(_second_round(percent, every), OUT).select("a", "b").distinct()
+        again = blocks.join(labels, blocks["c"] == labels["node"], "left").select("key", "c", "n", "sketch", "cols", F.coalesce("label", "c").alias("label"))
+        return written(again.repartition(n, "key").mapInArrow(_apart(percent, every), pair).distinct(), "ngram-apart")
 
-    for _ in range(3 if crowded else 0):  # a few links each, while they connect more
-        more = written(_product(_bounded(apart(False), one, percent), texts, k, percent), "ngram-links")
-        if not more.take(1):
+    edges = product(_bounded(forest, one, percent))
+    labels = written(components(edges), "ngram-labels")
+    for _ in range(2):  # a few links each, while they connect more
+        rest = apart(False)
+        more = product(_bounded(rest, one, percent)) if rest.take(1) else None
+        if more is None or not more.take(1):
             break
         edges = edges.unionByName(more)
         labels = written(components(edges), "ngram-labels")
-    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
-    rest = (
-        pairs.join(name("a"), "a", "left").join(name("b"), "b", "left")
-        .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-    )
-    if crowded:
-        rest = rest.unionByName(apart(True))
-    rest = written(_bounded(rest.distinct().join(first, ["a", "b"], "left_anti"), one, percent), "ngram-rest")
     if rest.take(1):
-        more = written(_product(rest, texts, k, percent), "ngram-links")
-        if more.take(1):
+        rest = written(_bounded(apart(True), one, percent), "ngram-rest")
+        more = product(rest) if rest.take(1) else None
+        if more is not None and more.take(1):
             labels = written(components(edges.unionByName(more)), "ngram-labels")
     named = info.select("id", "n", "c").join(labels, info["c"] == labels["node"], "left").select(
         "id", "n", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("label")

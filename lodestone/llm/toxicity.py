@@ -119,8 +119,8 @@ def train(
     prior: float,
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_positive: int = 1500,
-    max_unlabelled: int = 4500,
+    max_positive: int = 1000,
+    max_unlabelled: int = 3000,
     least: int = 3,
 ) -> Model:
     """Fit on at most ``max_positive`` + ``max_unlabelled`` whole texts, taken
@@ -173,6 +173,8 @@ def train(
     where = [new[at[good[at]]] for at in where]
     indptr = np.concatenate([[0], np.cumsum([len(x) for x in where])])
     index = np.concatenate(where).astype(np.int64)
+    del by, pos, blobs, where
+    pa.default_memory_pool().release_unused()
     w, bias = fit_nnpu(indptr, index, int(good.sum()), p, prior)
     used = np.abs(w) > 1e-3
     return Model(feat[good][used], w[used], bias)
