@@ -139,4 +139,5 @@ def rotate_keys(requests: DataFrame, keys: list[str], cooldown: float = 60.0) ->
 
     if not names:
         return requests.select("pool", "seq", F.lit(None).cast("string").alias("key"))
-    return requests.groupBy("pool").applyInPandas(run, "pool string, seq bigint, key string")
+    kind = requests.schema["pool"].dataType.simpleString()
+    return requests.groupBy("pool").applyInPandas(run, f"pool {kind}, seq bigint, key string")
