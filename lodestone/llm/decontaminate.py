@@ -200,19 +200,32 @@ class Items:
                 yield doc, item, edits, len(before) + end
 
 
+_BUILT: dict = {}
+
+
+def built(block: tuple) -> Items:
+    """The sketches of a block, made once in each Python worker."""
+    key = hash(block)
+    if key not in _BUILT:
+        _BUILT.clear()
+        ids, texts, rounds, similarity = block
+        _BUILT[key] = Items(list(ids), list(texts), rounds, similarity)
+    return _BUILT[key]
+
+
 def _blocks(items: DataFrame, id_col: str, text_col: str, least: int, rounds: int, similarity: float):
     """Items in blocks of bounded size, fetched one block's rows at a time."""
     rows = items.where(F.length(text_col) >= least).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ids, texts, size = [], [], 0
     for r in rows.toLocalIterator():
         if ids and size + len(r["text"]) > BLOCK_BYTES:
-            yield Items(ids, texts, rounds, similarity)
+            yield tuple(ids), tuple(texts), rounds, similarity
             ids, texts, size = [], [], 0
         ids.append(r["id"])
         texts.append(r["text"])
         size += len(r["text"])
     if ids:
-        yield Items(ids, texts, rounds, similarity)
+        yield tuple(ids), tuple(texts), rounds, similarity
 
 
 FOUND = "id long, item_id long, n_edits long, item_chars long, end_char long"
@@ -229,6 +242,7 @@ def find(
     for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity):
 
         def run(batches, block=block):
+            block = built(block)
             for b in chunks(batches, "text", 2 << 20):
                 got = list(block.matches(b, "text"))
                 ids = column(b, "id")
@@ -258,6 +272,7 @@ def clean(
     for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity):
 
         def run(batches, block=block):
+            block = built(block)
             for b in chunks(batches, text_col, 2 << 20):
                 keep = np.ones(b.num_rows, bool)
                 for doc, *_ in block.matches(b, text_col):

@@ -10,7 +10,8 @@ by block, and entries below the bounds that both sizes set are discarded:
   of the same rows come into one block.
 * In a block, pairs that share a column are bounded by their sizes, by the
   places of the shared n-gram, and by the bits in which their parity sketches
-  differ (each bit stands for at least one n-gram that only one side has).
+  differ (each bit stands for at least one n-gram that only one side has): first
+  with sketches of one length for all, then, for rows left, with longer ones.
 * The pairs' fronts of the common order, the n-grams up to the smaller end
   known in full, bound the overlap once more.
 * What is left is multiplied exactly: the rows of one class against those of
@@ -77,11 +78,14 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             wide = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
             edge = np.concatenate([[0], np.cumsum(wide)])
             sketch = np.zeros(edge[-1] // 8, np.uint8)
+            short = np.zeros((len(n), BITS // 8), np.uint8)
             if len(g):
                 s[some, 0] = np.add.reduceat(mix(g * COEF[20]), first[some])
                 s[some, 1] = np.add.reduceat(mix(g ^ COEF[21]), first[some])
                 bit = edge[doc] + ((mix(g * COEF[22]) >> np.uint64(24)).astype(np.int64) & (wide[doc] - 1))
                 sketch = np.packbits((np.bincount(bit, minlength=edge[-1]) & 1).astype(np.uint8))
+                bit = doc * BITS + (bit - edge[doc]) % BITS
+                short = np.packbits((np.bincount(bit, minlength=len(n) * BITS) & 1).astype(np.uint8)).reshape(len(n), -1)
             need = n - (n * percent + 99) // 100 + 1
             need[n == 0] = 0
             front = g[ranges(first[:-1], need)].astype("<u8")
@@ -90,16 +94,17 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 [
                     column(b, "id"), pa.array(n, pa.int64()),
                     pa.array([r.tobytes() for r in s], pa.binary()), pa.array([sketch[i // 8 : j // 8].tobytes() for i, j in zip(edge[:-1], edge[1:])], pa.binary()),
+                    pa.array([r.tobytes() for r in short], pa.binary()),
                     pa.array([front[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
                 ],
-                ["id", "n", "c", "sketch", "front"],
+                ["id", "n", "c", "sketch", "short", "front"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, c binary, sketch binary, front binary")
+    return docs.mapInArrow(run, "id long, n long, c binary, sketch binary, short binary, front binary")
 
 
 def _entries(info: DataFrame) -> DataFrame:
-    """Entries of columns that several rows share: g, c, place, low (the
+    """Entries of columns that several rows share: g, c, n, place, low (the
     smallest such column of the row)."""
     buckets = width(info.sparkSession)
 
@@ -111,7 +116,7 @@ def _entries(info: DataFrame) -> DataFrame:
                 front = column(x, "front").to_pylist()
                 keys = np.frombuffer(b"".join(front), "<u8")
                 size = np.array([len(f) // 8 for f in front])
-                notes = join_parts(b"".join(column(x, "c").to_pylist()), size.astype("<i8").tobytes())
+                notes = join_parts(b"".join(column(x, "c").to_pylist()), size.astype("<i8").tobytes(), column(x, "n").to_numpy().astype("<i8").tobytes())
                 yield deal((part << 32) + at, np.arange(len(keys)), keys.copy(), buckets, 4, notes)
                 at += 1
 
@@ -122,8 +127,8 @@ def _entries(info: DataFrame) -> DataFrame:
         for _, notes, pos, ids in gather(batches, True):
             if notes is None or not len(pos):
                 continue
-            c, size = split_parts(notes)
-            size = np.frombuffer(size.tobytes(), "<i8")
+            c, size, n = split_parts(notes)
+            size, n = np.frombuffer(size.tobytes(), "<i8"), np.frombuffer(n.tobytes(), "<i8")
             c = c.reshape(len(size), 16)
             first = np.concatenate([[0], np.cumsum(size)])
             row = np.searchsorted(first, pos, side="right") - 1
@@ -131,26 +136,108 @@ def _entries(info: DataFrame) -> DataFrame:
             at = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
             low = np.repeat(np.minimum.reduceat(g, at), np.diff(np.append(at, len(row))))
             keys = pa.Array.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(np.ascontiguousarray(c[row]))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(g), keys, pa.array(pos - first[row]), pa.array(low)], ["g", "c", "place", "low"])
+            yield pa.RecordBatch.from_arrays([pa.array(g), keys, pa.array(n[row]), pa.array(pos - first[row]), pa.array(low)], ["g", "c", "n", "place", "low"])
 
     return (
         info.mapInArrow(put, SCHEMA)
         .repartition(buckets, "key").mapInArrow(judged, SCHEMA)
-        .repartition(buckets, "src").mapInArrow(entries, "g long, c binary, place long, low long")
+        .repartition(buckets, "src").mapInArrow(entries, "g long, c binary, n long, place long, low long")
     )
 
 
-def _blocks_of(info: DataFrame) -> DataFrame:
+def _columns(percent: int):
+    """Entries of a partition's columns that have a partner of fitting size
+    (one of the next sizes fits, if any does), with their column's block: the
+    smallest column of any of its rows.  Rows of one class are one."""
+
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        t = pa.Table.from_batches(batches)
+        g, n, place, low = (t.column(x).to_numpy() for x in ("g", "n", "place", "low"))
+        c = np.frombuffer(b"".join(t.column("c").to_pylist()), "<u8").reshape(-1, 2)
+        order = np.lexsort((place, c[:, 1], c[:, 0], n, g))
+        g, n, place, low, c = g[order], n[order], place[order], low[order], c[order]
+        same = np.zeros(len(g), bool)
+        same[1:] = g[1:] == g[:-1]
+        at = np.flatnonzero(~same)
+        key = np.repeat(np.minimum.reduceat(low, at), np.diff(np.append(at, len(g))))
+        new = ~same
+        new[1:] |= (c[1:] != c[:-1]).any(axis=1)
+        g, n, place, key, c = g[new], n[new], place[new], key[new], c[new]
+        fits = np.zeros(len(g) + 1, bool)
+        fits[1:-1] = (g[1:] == g[:-1]) & (n[:-1] * 100 >= percent * n[1:])
+        keep = fits[1:] | fits[:-1]
+        g, n, place, key, c = g[keep], n[keep], place[keep], key[keep], c[keep]
+        if len(g):
+            ids = pa.Array.from_buffers(pa.binary(16), len(c), [None, pa.py_buffer(np.ascontiguousarray(c))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(key), ids, pa.array(g), pa.array(place)], ["key", "c", "g", "place"])
+
+    return run
+
+
+def _blocks_of(info: DataFrame, percent: int) -> DataFrame:
     """Blocks of the matrix: key, c, n, sketch, cols (array of g and place).
 
-    A column belongs to the block of the smallest column of any of its rows.
     Near copies share nearly all columns, which so come into one block, where
     each of their pairs is met once."""
-    e = _entries(info).groupBy("g", "c").agg(F.min("place").alias("place"), F.min("low").alias("low"))  # rows of one class are one
-    keys = e.groupBy("g").agg(F.min("low").alias("key"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    rows = e.join(keys.select("g", "key"), "g").groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("cols"))
-    sketches = info.groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    return rows.join(sketches, "c").select("key", "c", "n", "sketch", "cols")
+    buckets = width(info.sparkSession)
+    e = _entries(info).repartition(buckets, "g").mapInArrow(_columns(percent), "key long, c binary, g long, place long")
+    rows = written(e.groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("cols")), "ngram-rows")
+    classes = lambda sketch, some: info.join(some.select("c").distinct(), "c", "left_semi").groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
+    with_short = rows.join(classes("short", rows), "c").select("key", "c", "n", "sketch", "cols")
+    left = written(with_short.repartition(buckets, "key").mapInArrow(_survivors(percent), "key long, c binary"), "ngram-left")
+    rows = rows.join(left, ["key", "c"], "left_semi")
+    return rows.join(classes("sketch", left), "c").select("key", "c", "n", "sketch", "cols")
+
+
+def _survivors(percent: int):
+    """(key, c) of rows that have a partner by the bounds with short sketches.
+    All pairs of small columns are tried at once, large columns row by row."""
+
+    def run(batches):
+        for key, _, x in _blocks(list(batches), percent):
+            alive = np.zeros(len(x.n), bool)
+            sketch = np.array(x.raw)
+            size = np.diff(x.cut)
+
+            def may(i, j, pi, pj):
+                n, m = x.n[i], x.n[j]
+                need = (percent * (n + m) + 99 + percent) // (100 + percent)
+                ok = (np.minimum(n, m) * 100 >= percent * np.maximum(n, m)) & (np.minimum(pi, pj) + 1 + np.minimum(n - 1 - pi, m - 1 - pj) >= need)
+                at = np.flatnonzero(ok)
+                for a in range(0, len(at), 1 << 16):
+                    q = at[a : a + (1 << 16)]
+                    apart = np.bitwise_count(sketch[i[q]] ^ sketch[j[q]]).sum(axis=1, dtype=np.int64)
+                    ok[q] = (n[q] + m[q] - apart) // 2 >= need[q]
+                return ok
+
+            for m in np.unique(size[(size > 1) & (size <= 12)]):
+                first = x.cut[:-1][size == m]
+                u, v = np.triu_indices(m, 1)
+                for a in range(0, len(first), max(1, (1 << 18) // len(u))):
+                    f = first[a : a + max(1, (1 << 18) // len(u)), None]
+                    i, j = (f + u).ravel(), (f + v).ravel()
+                    ok = may(x.row[i], x.row[j], x.place[i], x.place[j])
+                    alive[x.row[i[ok]]] = alive[x.row[j[ok]]] = True
+            for f, z in zip(x.cut[:-1][size > 12], x.cut[1:][size > 12]):
+                row, place = x.row[f:z], x.place[f:z]
+                stop = np.searchsorted(x.n[row], x.n[row] * 100 // percent, side="right")
+                for k in range(len(row) - 1):
+                    j = np.arange(k + 1, stop[k])
+                    if alive[row[k]]:  # only partners that have none yet
+                        j = j[~alive[row[j]]]
+                    if len(j):
+                        i = np.full(len(j), row[k])
+                        ok = may(i, row[j], np.full(len(j), place[k]), place[j])
+                        if ok.any():
+                            alive[row[k]] = alive[row[j[ok]]] = True
+            if alive.any():
+                ids = [r.tobytes() for r in x.c[alive]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), key)), pa.array(ids, pa.binary())], ["key", "c"])
+
+    return run
 
 
 class _Block:
@@ -198,7 +285,7 @@ class _Block:
 
 
 def _blocks(batches, percent):
-    """(labels or None, block) of each block of a partition."""
+    """(key, labels or None, block) of each block of a partition."""
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
@@ -224,7 +311,7 @@ def _blocks(batches, percent):
         if "label" in x.column_names:
             raw = np.frombuffer(b"".join(x.column("label").to_pylist()), "<u8").reshape(-1, 2)[by]
             _, label = np.unique(np.ascontiguousarray(raw).view("V16").ravel(), return_inverse=True)
-        yield label, block
+        yield keys[a], label, block
 
 
 def _once(a: list, b: list) -> pa.RecordBatch:
@@ -240,7 +327,7 @@ def _spanning(percent):
 
     def run(batches):
         a, b = [], []
-        for _, x in _blocks(list(batches), percent):
+        for _, _, x in _blocks(list(batches), percent):
             root = np.arange(len(x.n))
             for row, place in x.columns():
                 for k in range(len(row) - 1):
@@ -271,7 +358,7 @@ def _apart(percent, every: bool):
 
     def run(batches):
         a, b = [], []
-        for label, x in _blocks(list(batches), percent):
+        for _, label, x in _blocks(list(batches), percent):
             if label.max() == 0:
                 continue
             common = np.bincount(label).argmax()
@@ -392,7 +479,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     info = written(_describe(docs, k, percent), "ngram-info")
     linked = info.where(F.col("id").isNotNull() & (F.col("n") > 0))
     pair = "a binary, b binary"
-    blocks = written(_blocks_of(linked), "ngram-blocks")
+    blocks = written(_blocks_of(linked, percent), "ngram-blocks")
     forest = written(blocks.repartition(n, "key").mapInArrow(_spanning(percent), pair).distinct(), "ngram-forest")
     # whoever may link with anyone is in a forest: all others have no part in what follows
     members = forest.select(F.explode(F.array("a", "b")).alias("c")).distinct()

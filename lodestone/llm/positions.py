@@ -140,7 +140,7 @@ def judge(batches, width: int, labels: bool):
             yield rows(passed)
     for bucket, items in groups.items():
         parts = [split_parts(x) for _, x in items]
-        keys = np.concatenate([p[0].view("<u4" if width == 4 else "<u8") for p in parts])
+        keys = np.concatenate([np.frombuffer(p[0].tobytes(), "<u4" if width == 4 else "<u8") for p in parts])
         coded = [unpack(p[1]) for p in parts]
         size = [len(c) for c in coded]
         multi = np.concatenate([c & 1 for c in coded]).astype(bool)

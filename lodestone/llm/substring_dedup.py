@@ -86,7 +86,7 @@ def repeated(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str
             keys = mix((sums[i + size] - sums[i]) * powers(R_INV, len(h) + 1)[i])
             doc = np.repeat(np.arange(len(per)), per)
             # one unused position between documents: no window reaches over it
-            yield deal((part << 32) + at, i + doc[i], keys, n, 4, doc_notes(b, first[:-1] + np.arange(len(per))))
+            yield deal((part << 32) + at, i + doc[i], keys, n, 4 if len(levels) > 1 else 8, doc_notes(b, first[:-1] + np.arange(len(per))))
             at += 1
 
     def judged(bits, labels):

@@ -112,6 +112,17 @@ def fit_nnpu(indptr, index, n_features, positive, prior, steps=300, rate=0.05, l
     return w[:-1], float(w[-1])
 
 
+def _give_back() -> None:
+    """Return freed memory of the sample to the system, where that is possible."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def train(
     docs: DataFrame,
     positives: DataFrame,
@@ -174,9 +185,11 @@ def train(
     indptr = np.concatenate([[0], np.cumsum([len(x) for x in where])])
     index = np.concatenate(where).astype(np.int64)
     del by, pos, blobs, where
-    pa.default_memory_pool().release_unused()
+    _give_back()
     w, bias = fit_nnpu(indptr, index, int(good.sum()), p, prior)
     used = np.abs(w) > 1e-3
+    del indptr, index
+    _give_back()
     return Model(feat[good][used], w[used], bias)
 
 
