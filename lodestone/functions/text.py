@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +26,11 @@ def lines(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)
 
 
+def strip(value: Column) -> Column:
+    """White space of any kind removed from both ends."""
+    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+
+
 def strip_tags(html: Column) -> Column:
     """Scripts and styles dropped, tags made spaces, white space collapsed;
     entities stay."""
@@ -37,8 +43,6 @@ def html_to_text(html: Column) -> Column:
     """``strip_tags`` with entities decoded, by an Arrow-batched function."""
     from html import unescape
 
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decode(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else unescape(x))
@@ -51,8 +55,14 @@ def human_size(size: Column) -> Column:
     s = size.cast("double")
     out = F.when(size < 1024, F.concat(size.cast("string"), F.lit("B")))
     for unit, scale in (("KB", 1024.0), ("MB", 1024.0**2), ("GB", 1024.0**3)):
-        out = out.when(s < scale * 1024, F.concat(F.format_string("%.1f", s / scale), F.lit(unit)))
-    return out.otherwise(F.concat(F.format_string("%.1f", s / 1024.0**4), F.lit("TB")))
+        out = out.when(s < scale * 1024, F.concat(_one_place(s / scale), F.lit(unit)))
+    return out.otherwise(F.concat(_one_place(s / 1024.0**4), F.lit("TB")))
+
+
+def _one_place(x: Column) -> Column:
+    """One decimal place of the exact binary value, ties to even: formatting
+    functions differ there."""
+    return F.bround(x.cast("decimal(38,18)"), 1).cast("string")
 
 
 def file_names(prose: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+
 HEAD = "[CONVERSATION SUMMARY — Earlier messages have been compacted]\n\n"
 TAIL = "\n\n[END SUMMARY — Recent messages follow]"
 REPLY = "Understood. I have the context from our earlier conversation. Let's continue."
@@ -14,7 +16,7 @@ def previews(messages: DataFrame, most: int = 80) -> DataFrame:
     """(conv_id, preview): the first user message that has text, cut short."""
     ok = (F.col("role") == "user") & (F.coalesce("text", F.lit("")) != "")
     first = messages.groupBy("conv_id").agg(F.min_by("text", F.when(ok, F.col("turn"))).alias("t"), F.bool_or(ok).alias("any"))
-    t = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    t = text.strip(F.col("t"))
     cut = F.when(F.length(t) > most, F.concat(F.substring(t, 1, most), F.lit("..."))).otherwise(t)
     return first.select("conv_id", F.when(F.col("any"), cut).otherwise("(empty conversation)").alias("preview"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +51,12 @@ def compact_tree(files: DataFrame, depth: int = 3, per_folder: int = 30, most: i
 def markdown_sections(files: DataFrame, key: str = "path") -> DataFrame:
     """(key, line, section, kind, item) of rule files: list items and
     ``name: value`` directives with the lower-cased ## header above them."""
-    rows = files.select(key, F.posexplode(text.lines(F.col("text"))).alias("line", "raw")).withColumn("s", F.trim("raw"))
+    rows = files.select(key, F.posexplode(text.lines(F.col("text"))).alias("line", "raw")).withColumn("s", text.strip(F.col("raw")))
     w = Window.partitionBy(key).orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head = F.when(F.col("s").startswith("##"), F.lower(F.trim(F.regexp_replace("s", "^#+", ""))))
+    head = F.when(F.col("s").startswith("##"), F.lower(text.strip(F.regexp_replace("s", "^#+", ""))))
     rows = rows.withColumn("section", F.coalesce(F.last(head, ignorenulls=True).over(w), F.lit("")))
-    body = F.when(F.col("s").startswith("# "), F.trim(F.substring("s", 3, 1 << 30))).otherwise(F.col("s"))
-    item = F.when(F.col("s").rlike(r"^[-*] "), F.trim(F.substring("s", 3, 1 << 30)))
+    body = F.when(F.col("s").startswith("# "), text.strip(F.substring("s", 3, 1 << 30))).otherwise(F.col("s"))
+    item = F.when(F.col("s").rlike(r"^[-*] "), text.strip(F.substring("s", 3, 1 << 30)))
     kind = F.when(F.col("s").startswith("##") | (F.col("s") == "") | (F.col("s").startswith("#") & ~F.col("s").startswith("# ")), None).when(item.isNotNull(), "item").when(body.rlike(r"^\w[\w_]*\s*:\s*.+$"), "directive")
     return rows.withColumn("kind", kind).where("kind is not null").select(key, "line", "section", "kind", F.coalesce(item, body).alias("item"))
 
@@ -70,7 +71,7 @@ def directives(files: DataFrame, key: str = "path", aliases: dict[str, str] | No
     name = F.lower(F.regexp_extract("item", r"^(\w[\w_]*)\s*:", 1))
     if aliases:
         name = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), name), name)
-    return got.select(key, name.alias("name"), F.trim(F.regexp_extract("item", r"^\w[\w_]*\s*:\s*(.+)$", 1)).alias("value"))
+    return got.select(key, name.alias("name"), text.strip(F.regexp_extract("item", r"^\w[\w_]*\s*:\s*(.+)$", 1)).alias("value"))
 
 
 def markdown_skill(files: DataFrame, key: str = "path") -> DataFrame:
@@ -93,17 +94,15 @@ def unified_diffs(changes: DataFrame) -> DataFrame:
     """changes(path, before, after) with a unified diff."""
     import difflib
 
-    import pandas as pd
+    def one(p, b, a):
+        b, a = (b or "").splitlines(keepends=True), (a or "").splitlines(keepends=True)
+        return "".join(difflib.unified_diff(b, a, fromfile=f"a/{p}", tofile=f"b/{p}"))
 
     @F.pandas_udf("string")
-    def diff(path: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
-        def one(p, b, a):
-            b, a = (b or "").splitlines(keepends=True), (a or "").splitlines(keepends=True)
-            return "".join(difflib.unified_diff(b, a, fromfile=f"a/{p}", tofile=f"b/{p}"))
-
+    def batch(path: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
         return pd.Series([one(*x) for x in zip(path, before, after)])
 
-    return changes.withColumn("diff", diff("path", "before", "after"))
+    return changes.withColumn("diff", batch("path", "before", "after"))
 
 
 def change_summary(changes: DataFrame) -> DataFrame:
@@ -123,13 +122,17 @@ def file_accesses(log: DataFrame) -> DataFrame:
     return got.withColumn("relevance", F.least(F.lit(10.0), F.col("accesses") + F.when(F.col("edited"), 3).otherwise(0)))
 
 
+def _named(kind: str):
+    return lambda v: F.struct(F.lit(kind).alias("type"), v.alias("value"))
+
+
 def constraints(prompts: DataFrame) -> DataFrame:
     """(id, type, value) of literal constraints that prompts(id, text) state:
     HTTP status codes, quoted strings to return, assignments."""
     found = F.flatten(
         F.array(
             *[
-                F.transform(F.regexp_extract_all("text", F.lit(p), F.lit(1)), lambda v, k=k: F.struct(F.lit(k).alias("type"), v.alias("value")))
+                F.transform(F.regexp_extract_all("text", F.lit(p), F.lit(1)), _named(k))
                 for k, p in (("status", r"(?i)\bstatus(?: code)?\s+(\d{3})\b"), ("string", r"(?i)\b(?:return|returns|print|prints)\s+[\"']([^\"'\n]+)[\"']"), ("assignment", r"\b([A-Za-z_]\w*\s*=\s*[\w.\"'-]+)"))
             ]
         )

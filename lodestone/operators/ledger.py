@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+
 RESUMABLE = ["RUNNING", "FAILED", "BLOCKED", "PARTIALLY_VERIFIED"]
 # fixed values: words of commands that check something, by what a criterion asks
 CHECK_FAMILIES = [
@@ -38,12 +40,12 @@ def last_rows(rows: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
 def replay(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Run events in file order; lines that are not JSON objects are skipped."""
     v = F.try_parse_json(text_col)
-    return lines.where(F.trim(text_col) != "").withColumn("event", v).where(F.col("event").isNotNull() & F.schema_of_variant("event").startswith("OBJECT"))
+    return lines.where(text.strip(F.col(text_col)) != "").withColumn("event", v).where(F.col("event").isNotNull() & F.schema_of_variant("event").startswith("OBJECT"))
 
 
 def evidence_trail(lines: DataFrame, key: str = "session_id", text_col: str = "value") -> DataFrame:
     """Evidence records; one broken line empties its session's whole trail."""
-    got = lines.where(F.trim(text_col) != "").withColumn("record", F.try_parse_json(text_col))
+    got = lines.where(text.strip(F.col(text_col)) != "").withColumn("record", F.try_parse_json(text_col))
     broken = got.groupBy(key).agg(F.bool_or(F.col("record").isNull()).alias("bad")).where("bad")
     return got.join(broken.select(key), key, "left_anti")
 
@@ -189,7 +191,7 @@ def run_status(facts: DataFrame) -> DataFrame:
     event_failures, mutations, checks, criteria, satisfied)."""
     some = (F.col("mutations") > 0) | (F.col("checks") > 0)
     out = (
-        F.when(F.upper(F.trim(F.coalesce("content", F.lit("")))).startswith("BLOCKED:"), "BLOCKED")
+        F.when(F.upper(text.strip(F.coalesce("content", F.lit("")))).startswith("BLOCKED:"), "BLOCKED")
         .when(F.col("pending") > 0, "AWAITING_APPROVAL")
         .when((F.col("failures") > 0) | (F.col("event_failures") > 0), F.when(some, "PARTIALLY_VERIFIED").otherwise("FAILED"))
         .when((F.col("criteria") > 0) & (F.col("satisfied") == F.col("criteria")), "VERIFIED")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import paths
+from ..functions import paths, text
 from ..schemas import FILES, SYMBOL
 
 ROUTE_VERBS = {"get", "post", "put", "patch", "delete", "route", "websocket"}
@@ -142,7 +142,7 @@ def tagged_output(df: DataFrame, text_col: str = "text") -> DataFrame:
     out = df
     for tag in TAGS:
         found = F.regexp_extract(text_col, rf"(?is)<{tag}>(.*?)</{tag}>", 1)
-        out = out.withColumn(tag.lower(), F.when(F.col(text_col).rlike(rf"(?is)<{tag}>.*?</{tag}>"), F.trim(found)))
+        out = out.withColumn(tag.lower(), F.when(F.col(text_col).rlike(rf"(?is)<{tag}>.*?</{tag}>"), text.strip(found)))
     return out
 
 
@@ -181,5 +181,5 @@ def truncated(code: str) -> str:
 def last_json_object(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """(key, json): the last line of an output that is a JSON object."""
     rows = df.select(key, F.posexplode(F.split(text_col, r"\r?\n")).alias("pos", "t"))
-    ok = F.trim("t").startswith("{") & F.try_parse_json("t").isNotNull()
-    return rows.where(ok).groupBy(key).agg(F.max_by(F.trim("t"), "pos").alias("json"))
+    ok = text.strip(F.col("t")).startswith("{") & F.try_parse_json("t").isNotNull()
+    return rows.where(ok).groupBy(key).agg(F.max_by(text.strip(F.col("t")), "pos").alias("json"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,14 @@ def scannable(files: DataFrame, explicit: bool = False) -> DataFrame:
     return files.where(keep if explicit else keep & ~tests)
 
 
+def _finding(severity: str, kind: str):
+    return lambda m, i: F.struct(F.lit(severity).alias("severity"), F.lit(kind).alias("kind"), m.alias("match"), i.alias("i"))
+
+
+def _risk(kind: str):
+    return lambda m: F.struct(F.lit(kind).alias("kind"), F.substring(m, 1, 500).alias("excerpt"))
+
+
 def scan(files: DataFrame) -> DataFrame:
     """(path, severity, kind, line) of every finding in files(path, text).
 
@@ -53,7 +62,7 @@ def scan(files: DataFrame) -> DataFrame:
     for severity, kind, pattern in PATTERNS:
         hits = F.regexp_extract_all("text", F.lit(f"(?U){pattern}"), F.lit(0))
         gaps = F.split("text", f"(?U){pattern}", -1)
-        rows = F.transform(hits, lambda m, i, s=severity, k=kind: F.struct(F.lit(s).alias("severity"), F.lit(k).alias("kind"), m.alias("match"), i.alias("i")))
+        rows = F.transform(hits, _finding(severity, kind))
         found.append(files.where(F.col("text").rlike(f"(?U){pattern}")).select("path", "text", F.explode(rows).alias("f"), gaps.alias("gaps"), hits.alias("hits")))
     out = found[0]
     for x in found[1:]:
@@ -84,7 +93,7 @@ def migration_risks(scripts: DataFrame) -> DataFrame:
     each = F.flatten(
         F.array(
             *[
-                F.transform(F.regexp_extract_all("sql", F.lit(p), F.lit(0)), lambda m, k=k: F.struct(F.lit(k).alias("kind"), F.substring(m, 1, 500).alias("excerpt")))
+                F.transform(F.regexp_extract_all("sql", F.lit(p), F.lit(0)), _risk(k))
                 for p, k in DESTRUCTIVE
             ]
         )
@@ -135,7 +144,7 @@ def redirect_verdict(original: Column, target: Column, **rules) -> Column:
 
 
 def content_type_allowed(kind: Column) -> Column:
-    base = F.lower(F.trim(F.regexp_extract(kind, r"^([^;]*)", 1)))
+    base = F.lower(text.strip(F.regexp_extract(kind, r"^([^;]*)", 1)))
     return base.startswith("text/") | base.isin("application/json", "application/xml", "application/xhtml+xml", "application/javascript") | (base == "")
 
 
@@ -192,15 +201,15 @@ def manifest_packages(files: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     n = paths.name(F.col("path"))
-    rows = files.select("path", F.posexplode(text.lines(F.col("text"))).alias("no", "line")).withColumn("line", F.trim("line")).withColumn("file", n)
+    rows = files.select("path", F.posexplode(text.lines(F.col("text"))).alias("no", "line")).withColumn("line", text.strip(F.col("line"))).withColumn("file", n)
     w = Window.partitionBy("path").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     req = rows.where(F.col("file").startswith("requirements") & (F.col("line") != "") & ~F.col("line").rlike(r"^[#\-./]") & ~F.contains("line", F.lit("://")))
-    req = req.select("path", F.lit("pypi").alias("registry"), F.trim(F.regexp_extract("line", r"^([^<>=!~;\[]*)", 1)).alias("name"))
+    req = req.select("path", F.lit("pypi").alias("registry"), text.strip(F.regexp_extract("line", r"^([^<>=!~;\[]*)", 1)).alias("name"))
     cargo = rows.where("file = 'Cargo.toml'").withColumn(
         "sec", F.last(F.when(F.col("line").startswith("["), F.contains("line", F.lit("dependencies")) & ~F.col("line").startswith("[package")), ignorenulls=True).over(w)
     )
     cargo = cargo.where(F.col("sec") & ~F.col("line").startswith("[") & ~F.col("line").startswith("#") & F.contains("line", F.lit("=")))
-    cargo = cargo.select("path", F.lit("crates").alias("registry"), F.trim(F.regexp_extract("line", r"^([^=]*)", 1)).alias("name"))
+    cargo = cargo.select("path", F.lit("crates").alias("registry"), text.strip(F.regexp_extract("line", r"^([^=]*)", 1)).alias("name"))
     go = rows.where("file = 'go.mod'").withColumn(
         "req", F.last(F.when(F.col("line") == "require (", True).when(F.col("line") == ")", False), ignorenulls=True).over(w)
     )
@@ -233,31 +242,30 @@ def install_commands(commands: DataFrame) -> DataFrame:
     """(id, registry, name) of packages that commands(id, command) install."""
     import shlex
 
-    import pandas as pd
-
     # fixed values: installers, their registry, and flags that take a value
     tools = {("pip", "install"): "pypi", ("pip3", "install"): "pypi", ("npm", "install"): "npm", ("npm", "i"): "npm", ("yarn", "add"): "npm", ("pnpm", "add"): "npm", ("cargo", "add"): "crates", ("cargo", "install"): "crates", ("go", "get"): "go", ("go", "install"): "go"}
     valued = {"-r", "--requirement", "-i", "--index-url", "--extra-index-url", "--registry", "-F", "--features"}
 
-    @F.pandas_udf("array<struct<registry:string,name:string>>")
-    def parse(s: pd.Series) -> pd.Series:
-        def one(command):
-            try:
-                words = shlex.split(command or "")
-            except ValueError:
-                return []
-            for at, (a, b) in enumerate(zip(words, words[1:])):
-                if registry := tools.get((a, b)):
-                    out, skip = [], False
-                    for w in words[at + 2 :]:
-                        if skip or w in valued or w.startswith("-"):
-                            skip = not skip and w in valued
-                            continue
-                        out.append({"registry": registry, "name": w})
-                    return out
+    def one(command):
+        try:
+            words = shlex.split(command or "")
+        except ValueError:
             return []
+        for at, (a, b) in enumerate(zip(words, words[1:])):
+            if registry := tools.get((a, b)):
+                out, skip = [], False
+                for w in words[at + 2 :]:
+                    if skip or w in valued or w.startswith("-"):
+                        skip = not skip and w in valued
+                        continue
+                    out.append({"registry": registry, "name": w})
+                return out
+        return []
 
+    @F.pandas_udf("array<struct<registry:string,name:string>>")
+    def parse(s: pd.Series) -> pd.Series:
         return s.map(one)
 
+
     got = commands.select("id", F.explode(parse("command")).alias("x")).select("id", "x.*")
     return got.where(~text.is_local_or_url(F.col("name"))).select("id", "registry", text.strip_version(F.col("name"), F.col("registry")).alias("name"))

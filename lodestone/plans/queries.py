@@ -302,7 +302,7 @@ def page_links(spark, d):
 
 @query(
     "h3_human_sizes",
-    "SELECT doc_id, CASE WHEN n < 1024 THEN n || 'B' WHEN n < 1048576 THEN printf('%.1f', n / 1024.0::DOUBLE) || 'KB' WHEN n < 1073741824 THEN printf('%.1f', n / 1048576.0::DOUBLE) || 'MB' ELSE printf('%.1f', n / 1073741824.0::DOUBLE) || 'GB' END AS size FROM (SELECT doc_id, n_chars * 777 AS n FROM documents)",
+    "SELECT doc_id, CASE WHEN n < 1024 THEN n || 'B' WHEN n < 1048576 THEN round_even((n / 1024.0::DOUBLE)::DECIMAL(38,18), 1)::DECIMAL(38,1) || 'KB' WHEN n < 1073741824 THEN round_even((n / 1048576.0::DOUBLE)::DECIMAL(38,18), 1)::DECIMAL(38,1) || 'MB' ELSE round_even((n / 1073741824.0::DOUBLE)::DECIMAL(38,18), 1)::DECIMAL(38,1) || 'GB' END AS size FROM (SELECT doc_id, n_chars * 777 AS n FROM documents)",
 )
 def human_sizes(spark, d):
     return t.table(spark, d, "documents").select("doc_id", text.human_size(F.col("n_chars") * 777).alias("size"))
@@ -698,7 +698,7 @@ def run_states(spark, d):
 
 @query("i1_event_windows", "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
-    return t.table(spark, d, "events").groupBy(F.date_trunc("day", "ts").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("events"))
+    return t.table(spark, d, "events").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
 @query("e12_key_rotation")
