@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, chunks, column, mix, ranges, text_buffers, word_spans
+from .common import chunks, column, LOWER, mix, ranges, SPACE, task, text_buffers, word_spans
 
 STEPS, SAMPLES = 56, 13
 BLOCK_BYTES = 4 << 20  # of item text sent to the tasks at once
@@ -257,7 +257,7 @@ def find(
                     ["id", "item_id", "n_edits", "item_chars", "end_char"],
                 )
 
-        one = docs.mapInArrow(run, FOUND)
+        one = docs.mapInArrow(task(run), FOUND)
         out = one if out is None else out.unionByName(one)
     if out is None:
         out = docs.sparkSession.createDataFrame([], FOUND)
@@ -279,5 +279,5 @@ def clean(
                     keep[doc] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(task(run), docs.schema)
     return docs

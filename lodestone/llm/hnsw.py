@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, written
+from .common import column, task, written
 
 SHARD = 8192  # vectors of a shard, about
 QUERIES = 512  # queries of a block
@@ -256,7 +256,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, ef: int = 128, id_
                     out_d += [x for x, _ in got]
                 yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_d, pa.float64())], ["query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "query_id long, vec_id long, score double")
+    found = met.mapInArrow(task(run), "query_id long, vec_id long, score double")
     # merge: the k smallest of (distance, id) per query
     top = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("t"))
     return top.select("query_id", F.posexplode("t").alias("p", "x")).select(

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import COEF, LOWER, chunks, column, mix, ranges, text_buffers, width, word_hashes, word_spans, written
+from .common import chunks, COEF, column, LOWER, mix, ranges, task, text_buffers, width, word_hashes, word_spans, written
 from .components import components
 from .positions import SCHEMA, deal, gather, join_parts, judge, split_parts
 
@@ -100,7 +100,7 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 ["id", "n", "c", "sketch", "short", "front"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, c binary, sketch binary, short binary, front binary")
+    return docs.mapInArrow(task(run), "id long, n long, c binary, sketch binary, short binary, front binary")
 
 
 def _entries(info: DataFrame) -> DataFrame:
@@ -139,9 +139,9 @@ def _entries(info: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(g), keys, pa.array(n[row]), pa.array(pos - first[row]), pa.array(low)], ["g", "c", "n", "place", "low"])
 
     return (
-        info.mapInArrow(put, SCHEMA)
-        .repartition(buckets, "key").mapInArrow(judged, SCHEMA)
-        .repartition(buckets, "src").mapInArrow(entries, "g long, c binary, n long, place long, low long")
+        info.mapInArrow(task(put), SCHEMA)
+        .repartition(buckets, "key").mapInArrow(task(judged), SCHEMA)
+        .repartition(buckets, "src").mapInArrow(task(entries), "g long, c binary, n long, place long, low long")
     )
 
 
@@ -183,11 +183,11 @@ def _blocks_of(info: DataFrame, percent: int) -> DataFrame:
     Near copies share nearly all columns, which so come into one block, where
     each of their pairs is met once."""
     buckets = width(info.sparkSession)
-    e = _entries(info).repartition(buckets, "g").mapInArrow(_columns(percent), "key long, c binary, g long, place long")
+    e = _entries(info).repartition(buckets, "g").mapInArrow(task(_columns(percent)), "key long, c binary, g long, place long")
     rows = written(e.groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("cols")), "ngram-rows")
     classes = lambda sketch, some: info.join(some.select("c").distinct(), "c", "left_semi").groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
     with_short = rows.join(classes("short", rows), "c").select("key", "c", "n", "sketch", "cols")
-    left = written(with_short.repartition(buckets, "key").mapInArrow(_survivors(percent), "key long, c binary"), "ngram-left")
+    left = written(with_short.repartition(buckets, "key").mapInArrow(task(_survivors(percent)), "key long, c binary"), "ngram-left")
     rows = rows.join(left, ["key", "c"], "left_semi")
     return rows.join(classes("sketch", left), "c").select("key", "c", "n", "sketch", "cols")
 
@@ -432,7 +432,7 @@ def _bounded(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFrame:
 
         yield _pairs_out(list(_per_block(items(), links)))
 
-    return _met(pairs, fronts).select("a", "s", "c", "n", "front").mapInArrow(run, "a binary, b binary")
+    return _met(pairs, fronts).select("a", "s", "c", "n", "front").mapInArrow(task(run), "a binary, b binary")
 
 
 def _product(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -453,7 +453,7 @@ def _product(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
         yield _pairs_out(list(_per_block(items(), links)))
 
-    return _met(pairs, texts).select("a", "s", "c", "text").mapInArrow(run, "a binary, b binary")
+    return _met(pairs, texts).select("a", "s", "c", "text").mapInArrow(task(run), "a binary, b binary")
 
 
 def _short_fronts(rows: DataFrame) -> DataFrame:
@@ -464,7 +464,7 @@ def _short_fronts(rows: DataFrame) -> DataFrame:
             f = [(np.frombuffer(x, "<u8") >> np.uint64(32)).astype("<u4").tobytes() for x in column(b, "front").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(b, "c"), column(b, "id"), column(b, "n"), pa.array(f, pa.binary())], ["c", "id", "n", "front"])
 
-    return rows.select("c", "id", "n", "front").mapInArrow(run, "c binary, id long, n long, front binary")
+    return rows.select("c", "id", "n", "front").mapInArrow(task(run), "c binary, id long, n long, front binary")
 
 
 BROADCAST_ROWS = 200_000  # of 24 bytes: larger tables of candidates are shuffled
@@ -480,7 +480,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     linked = info.where(F.col("id").isNotNull() & (F.col("n") > 0))
     pair = "a binary, b binary"
     blocks = written(_blocks_of(linked, percent), "ngram-blocks")
-    forest = written(blocks.repartition(n, "key").mapInArrow(_spanning(percent), pair).distinct(), "ngram-forest")
+    forest = written(blocks.repartition(n, "key").mapInArrow(task(_spanning(percent)), pair).distinct(), "ngram-forest")
     # whoever may link with anyone is in a forest: all others have no part in what follows
     members = forest.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     one = linked.join(members, "c").groupBy("c").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front"))
@@ -496,7 +496,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     def apart(every: bool) -> DataFrame:
         again = blocks.join(labels, blocks["c"] == labels["node"], "left").select("key", "c", "n", "sketch", "cols", F.coalesce("label", "c").alias("label"))
-        return written(again.repartition(n, "key").mapInArrow(_apart(percent, every), pair).distinct(), "ngram-apart")
+        return written(again.repartition(n, "key").mapInArrow(task(_apart(percent, every)), pair).distinct(), "ngram-apart")
 
     edges = product(_bounded(forest, one, percent))
     labels = written(components(edges), "ngram-labels")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, column
+from .common import chunks, column, task
 from .token_counts import resolve
 
 MARK = "▁"
@@ -237,7 +237,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
             )
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, ids_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(task(run), schema)
 
 
 def decode(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -252,7 +252,7 @@ def decode(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "dec
             texts = [None if x is None else codec.decode(x) for x in column(b, ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task(run), schema)
 
 
 def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,4 +289,4 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
                 schema.names,
             )
 
-    return docs.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return docs.mapInArrow(task(run), schema).withColumnRenamed("id", id_col)

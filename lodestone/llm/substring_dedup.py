@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import R_INV, R, chunks, column, mix, powers, text_buffers, width, word_hashes, word_spans
+from .common import chunks, column, mix, powers, R, R_INV, task, text_buffers, width, word_hashes, word_spans
 from .positions import SCHEMA, deal, gather, join_parts, judge, pack_sorted, split_parts, unpack_sorted
 
 
@@ -121,13 +121,13 @@ def repeated(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str
                 [pa.array(ids[d], pa.int64(), mask=null[d]), pa.array(k[d], pa.int64()), pa.array(blobs, pa.binary())], ["id", "k", "runs"]
             )
 
-    flow = keyed.mapInArrow(first_level, SCHEMA)
+    flow = keyed.mapInArrow(task(first_level), SCHEMA)
     for i, size in enumerate(levels):
         last = size == window
-        flow = flow.repartition(n, "key").mapInArrow(judged(4 if i == 0 and not last else 8, not last), SCHEMA).repartition(n, "src")
+        flow = flow.repartition(n, "key").mapInArrow(task(judged(4 if i == 0 and not last else 8, not last)), SCHEMA).repartition(n, "src")
         if not last:
-            flow = flow.mapInArrow(next_level(size, levels[i + 1]), SCHEMA)
-    found = flow.mapInArrow(runs, "id long, k long, runs binary")
+            flow = flow.mapInArrow(task(next_level(size, levels[i + 1])), SCHEMA)
+    found = flow.mapInArrow(task(runs), "id long, k long, runs binary")
     return found.groupBy("id", "k").agg(F.max("runs").alias("runs"))  # equal rows have equal runs
 
 
@@ -159,4 +159,4 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
             names = ["id", "n_words", "n_removed", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept)] * keep_text, names + ["kept_text"] * keep_text)
 
-    return joined.mapInArrow(apply, schema).withColumnRenamed("id", id_col)
+    return joined.mapInArrow(task(apply), schema).withColumnRenamed("id", id_col)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import COEF, R_INV, chunks, column, mix, powers, prefix_sums, ranges, span_hash, text_buffers, width
+from .common import chunks, COEF, column, mix, powers, prefix_sums, R_INV, ranges, span_hash, task, text_buffers, width
 from .positions import SCHEMA, deal, gather, join_parts, judge, pack_sorted, split_parts, unpack_sorted
 from .substring_dedup import _keyed, doc_notes, read_notes
 
@@ -287,9 +287,9 @@ def _pieces(keyed: DataFrame, length: int, all_copies: bool) -> DataFrame:
             )
 
     marks = (
-        keyed.mapInArrow(anchors, SCHEMA)
-        .repartition(n, "key").mapInArrow(judged, SCHEMA)
-        .repartition(n, "src").mapInArrow(by_document, "id long, k long, anchors binary")
+        keyed.mapInArrow(task(anchors), SCHEMA)
+        .repartition(n, "key").mapInArrow(task(judged), SCHEMA)
+        .repartition(n, "src").mapInArrow(task(by_document), "id long, k long, anchors binary")
         .groupBy("id", "k").agg(F.max("anchors").alias("anchors"))  # equal rows have equal anchors
     )
     joined = keyed.alias("d").join(marks.alias("m"), F.col("d.id").eqNullSafe(F.col("m.id")) & (F.col("d.k") == F.col("m.k")), "left").select(
@@ -345,7 +345,7 @@ def _pieces(keyed: DataFrame, length: int, all_copies: bool) -> DataFrame:
             k, s, t, v = zip(*items) if items else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(s, pa.int64()), pa.array(t, pa.int32()), pa.array(v, pa.binary())], ["key", "src", "kind", "blob"])
 
-    return joined.mapInArrow(cut, SCHEMA).repartition(n, "key")
+    return joined.mapInArrow(task(cut), SCHEMA).repartition(n, "key")
 
 
 def _buckets(batches):
@@ -417,7 +417,7 @@ def _covered(keyed: DataFrame, length: int) -> DataFrame:
                 late = ps.later(own, own[e], off, off[e])
                 yield _covers(c, own[late], c["start"][own[late]] + off[late], c["start"][own[late]] + off[late] + depth[late])
 
-    return _pieces(keyed, length, False).mapInArrow(run, "id long, k long, start long, stop long")
+    return _pieces(keyed, length, False).mapInArrow(task(run), "id long, k long, start long, stop long")
 
 
 def repeat_groups(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -451,7 +451,7 @@ def repeat_groups(docs: DataFrame, length: int = 100, id_col: str = "doc_id", te
                     ["repeat", "n_bytes", "id", "start"],
                 )
 
-    out = _pieces(keyed, length, True).mapInArrow(run, "repeat long, n_bytes long, id long, start long")
+    out = _pieces(keyed, length, True).mapInArrow(task(run), "repeat long, n_bytes long, id long, start long")
     return out.distinct().withColumnRenamed("id", id_col)
 
 
@@ -491,4 +491,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                 cols, names = [*cols, pa.array([bytes(x) for x in kept], pa.binary())], [*names, "kept_bytes"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return joined.mapInArrow(apply, schema).withColumnRenamed("id", id_col)
+    return joined.mapInArrow(task(apply), schema).withColumnRenamed("id", id_col)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import chunks, column, scratch_path
+from .common import chunks, column, scratch_path, task
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -122,7 +122,7 @@ def count_tokens(
                 ["content", "tokenizer", "n_tokens"],
             )
 
-    misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    misses.mapInArrow(task(encode), CACHE_SCHEMA).write.mode("append").parquet(cache)
     counts = (
         spark.read.schema(CACHE_SCHEMA)
         .parquet(cache)

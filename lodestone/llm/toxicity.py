@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE, COEF, LOWER, chunks, column, mix, powers, text_buffers, word_spans, R, R_INV
+from .common import BYTE, COEF, LOWER, chunks, column, give_back, mix, powers, task, text_buffers, word_spans, R, R_INV
 
 STARTS = (4, 5, 6, 7, 8)
 
@@ -112,17 +112,6 @@ def fit_nnpu(indptr, index, n_features, positive, prior, steps=300, rate=0.05, l
     return w[:-1], float(w[-1])
 
 
-def _give_back() -> None:
-    """Return freed memory of the sample to the system, where that is possible."""
-    import ctypes
-
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):
-        pass
-
-
 def train(
     docs: DataFrame,
     positives: DataFrame,
@@ -154,7 +143,7 @@ def train(
             yield pa.RecordBatch.from_arrays([column(b, "p"), pa.array(blobs, pa.binary())], ["p", "f"])
 
     # stays on the executors: features of one text each; screened there first
-    got = rows.mapInArrow(features, "p boolean, f binary").toArrow()
+    got = rows.mapInArrow(task(features), "p boolean, f binary").toArrow()
     p = np.array(got.column("p").to_pylist(), bool)
     blobs = got.column("f").to_pylist()
     del got
@@ -185,11 +174,11 @@ def train(
     indptr = np.concatenate([[0], np.cumsum([len(x) for x in where])])
     index = np.concatenate(where).astype(np.int64)
     del by, pos, blobs, where
-    _give_back()
+    give_back()
     w, bias = fit_nnpu(indptr, index, int(good.sum()), p, prior)
     used = np.abs(w) > 1e-3
     del indptr, index
-    _give_back()
+    give_back()
     return Model(feat[good][used], w[used], bias)
 
 
@@ -205,7 +194,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             s = model.score(*text_buffers(column(b, text_col)), table)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(task(run), schema)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:

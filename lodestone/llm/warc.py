@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, scratch_path
+from .common import column, scratch_path, task
 
 SKIPPABLE = 0x184D2A5D
 FRAME = b"\x28\xb5\x2f\xfd"
@@ -209,7 +209,7 @@ def write_archives(
         if records:
             yield flush(records, samples)
 
-    rows.mapInArrow(run, "path string, n long, bytes long").agg(F.sum("n"), F.sum("bytes")).first()
+    rows.mapInArrow(task(run), "path string, n long, bytes long").agg(F.sum("n"), F.sum("bytes")).first()
     return folder
 
 
@@ -238,4 +238,4 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                         got, size = [], 0
                 yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in got], types[n]) for n in names], names)
 
-    return files.mapInArrow(run, READ)
+    return files.mapInArrow(task(run), READ)
