@@ -236,3 +236,36 @@ def test_state_machine_batch_and_stream(spark, tmp_path):
 def test_key_rotation(spark):
     r = spark.createDataFrame([("p", 1, 0.0, True), ("p", 2, 1.0, False), ("p", 3, 2.0, False), ("p", 4, 90.0, False)], "pool string, seq bigint, ts double, limited boolean")
     assert [x.key for x in stateful.rotate_keys(r, ["a", "b"]).orderBy("seq").collect()] == ["a", "b", "b", "a"]
+
+
+def test_agents(spark):
+    from lodestone.operators import agents
+
+    t = spark.createDataFrame([(1, "do it", "vague", 1), (2, "write two json files", "multi_file", 2), (3, "add a database thread", "atomic", 1), (4, "small", "atomic", 1)], "id int, description string, scope_level string, expected_files int")
+    assert [(r.route, r.reason) for r in agents.route_tasks(t).orderBy("id").collect()] == [("hosted", "underspecified"), ("hosted", "multi-file json"), ("hosted", "high-risk: thread, database"), ("local", "atomic")]
+    s = spark.createDataFrame([("web", 0, ["react", "css"], ["*.tsx"], ["build"], 80), ("db", 1, ["sql"], [], [], 50)], "skill string, ordinal int, keywords array<string>, file_patterns array<string>, intents array<string>, priority int")
+    i = spark.createDataFrame([(1, "React css sql", "a/B.tsx", "Build"), (2, "nothing", "", "")], "id int, text string, path string, intent string")
+    got = agents.skill_scores(i, s).collect()
+    assert [(r.id, r.skill, round(r.score, 4), r.rank) for r in got] == [(1, "web", 0.8, 1), (1, "db", 0.125, 2)]
+    g = spark.createDataFrame([(1, "atomic", 1, 1, False, ["f"], "def f(): pass"), (2, "atomic", 2, 1, False, [], ""), (3, "multi_file", 2, 1, False, [], ""), (4, "atomic", 1, 1, False, ["g"], "x")], "id int, scope_level string, expected_files int, actual_files int, answered boolean, expected_names array<string>, output string")
+    assert [r.verdict for r in agents.guardrail(g).orderBy("id").collect()] == ["PASS", "REJECT_SCOPE", "REJECT_FILE_COUNT", "REJECT_FUNC_NAME"]
+    p = spark.createDataFrame([("a", "package.json"), ("a", "tsconfig.json"), ("b", "x"), ("c", "go.mod")], "project string, path string")
+    assert {r.project: r.type for r in agents.project_types(p).collect()} == {"a": "typescript", "b": "unknown", "c": "go"}
+    assert one(spark, "class A:\n  pass\ndef f():\n  pass", lambda v: agents.file_summary(F.lit("x.py"), v)) == "4 lines | python | classes: A | functions: f"
+    assert one(spark, "f( {", lambda v: agents.truncation_reason(F.lit("a.ts"), v)).startswith("unbalanced {}") and one(spark, "f(')')", lambda v: agents.truncation_reason(F.lit("a.ts"), v)) is None
+    c = agents.acceptance_criteria(spark.createDataFrame([(1, "fix the bug")], "id int, text string")).first()
+    assert c.verification[0].startswith("Run the project") and len(c.criteria) == 7
+    m = spark.createDataFrame([("big-model", "Big Model", 0), ("small", "Small One", 1)], "key string, title string, ordinal int")
+    a = spark.createDataFrame([("s", "small")], "alias string, key string")
+    n = spark.createDataFrame([("S",), ("big",), ("one",), ("zz",), ("",)], "name string")
+    assert {r.name: r.key for r in agents.resolve_alias(n, m, a, "big-model").collect()} == {"S": "small", "big": "big-model", "one": "small", "zz": None, "": "big-model"}
+    arr = spark.createDataFrame([([1, 3, 5], 3), ([1, 3, 5], 4), ([], 1)], "a array<int>, t int")
+    assert [r.x for r in arr.select(agents.sorted_position(F.col("a"), F.col("t")).alias("x")).collect()] == [1, -1, -1]
+    r = spark.createDataFrame([("t", 1, True, ["a"], [], ["f"], 2), ("t", 2, False, ["b"], ["e"], ["f", "g"], 3)], "team string, seq int, succeeded boolean, findings array<string>, errors array<string>, files array<string>, calls int")
+    x = agents.team_report(r, "team").first()
+    assert (x.agents, x.passed, x.findings, x.errors, x.files, x.calls) == (2, 1, ["a", "b"], ["e"], 2, 5)
+    assert one(spark, '{"usage":{"prompt_tokens":3}}', agents.usage_of).asDict() == {"prompt_tokens": 3, "completion_tokens": 0}
+    h = agents.content_hash(spark.createDataFrame([("p", 1, "a", bytearray(b"x")), ("p", 2, "b", bytearray(b"y"))], "key string, seq int, path string, content binary"), "key").first()
+    import hashlib
+
+    assert h.sha256 == hashlib.sha256(b"xy").hexdigest()
