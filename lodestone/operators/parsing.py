@@ -110,7 +110,7 @@ def parse_files(sources: DataFrame, owner_rules: DataFrame | None = None) -> Dat
                 try:
                     source = bytes(content).decode("utf-8")
                     got = parse_python(source, path) if language == "python" else parse_other(source, path, language)
-                except (UnicodeDecodeError, SyntaxError, ValueError, RecursionError) as e:
+                except (UnicodeDecodeError, SyntaxError, ValueError, RecursionError, MemoryError) as e:  # the parser reports its own depth so
                     error = f"{type(e).__name__}: {e}"
                 once = lambda k: sorted(dict.fromkeys(got.get(k, [])))
                 rows.append((once("imports"), got.get("symbols", []), once("references"), once("routes"), once("database_models"), error))

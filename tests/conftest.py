@@ -30,7 +30,7 @@ def rows(df):
     """Rows of a pandas frame, columns and rows in a fixed order."""
 
     def plain(v):
-        if v is None or v != v or str(v) == "NaT":
+        if v is None or str(v) in ("NaT", "<NA>", "nan", "None"):
             return None
         return round(float(v), 9) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
 
