@@ -42,6 +42,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 200_000  # keys of up to 24 bytes; larger tables are shuffled
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """A table of keys, to be broadcast if its checked size allows it."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def width(spark: SparkSession) -> int:
     """Number of hash buckets for explicit exchanges: follows the session."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

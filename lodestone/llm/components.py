@@ -1,6 +1,7 @@
-"""Connected components of an edge table by alternating large and small stars.
+"""Connected components of an edge table.
 
-Each round is a handful of joins and aggregations; its edges are written to the
+A table of at most ``ONE_TASK`` edges is done by union-find in one task; a larger
+one by alternating large and small stars, with the same result.  Each round is a handful of joins and aggregations; its edges are written to the
 shared scratch space, so lineage stays short and lost executors cost one round.
 Nothing is collected but a row count and a checksum.
 """
@@ -13,12 +14,43 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+ONE_TASK = 300_000  # edges, checked by a count
+
+
+def _in_one_task(e: DataFrame) -> DataFrame:
+    """(node, label) by union-find over a bounded number of edges."""
+    node = e.schema["u"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        top: dict = {}
+
+        def find(x):
+            while (p := top.setdefault(x, x)) != x:
+                top[x] = top.setdefault(p, p)
+                x = top[x]
+            return x
+
+        kind = None
+        for b in batches:
+            kind = b.schema.field("u").type
+            for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist()):
+                x, y = find(u), find(v)
+                if x != y:
+                    top[max(x, y)] = min(x, y)
+        if top:
+            yield pa.RecordBatch.from_arrays([pa.array(list(top), kind), pa.array([find(x) for x in top], kind)], ["node", "label"])
+
+    return e.coalesce(1).mapInArrow(run, f"node {node}, label {node}")
+
+
 def _sum(df: DataFrame):
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
     return r["n"], r["s"]
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE_TASK) -> DataFrame:
     """(node, label) of every node that has an edge to another; the label is
     the smallest node of its component.  Null ends, loops and repeated edges
     are ignored.  Any orderable node type."""
@@ -27,6 +59,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         "edges",
     )
     mark = _sum(e)
+    if mark[0] <= one_task:
+        return _in_one_task(e)
     while mark[0]:
         # large star: every larger neighbour of u goes to u's smallest
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

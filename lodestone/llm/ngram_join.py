@@ -19,8 +19,8 @@ by block, and entries below the bounds that both sizes set are discarded:
 
 None of the bounds discards a pair that links.  Products come in rounds.  The
 first has a forest of each block: pairs that connect all rows that the bounds
-let link.  Up to two more take one or two pairs per row that is not connected
-yet.  The last has all pairs that no link connects, so components are exact
+let link.  The second takes one or two pairs per row that is not connected yet.
+The last has all pairs that no link connects, so components are exact
 while links inside one need not all be made.
 
 Words: A-Z lower-cased, runs of bytes other than 0x20 and 0x09-0x0D.  Texts of
@@ -37,11 +37,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, COEF, column, LOWER, mix, ranges, task, text_buffers, width, word_hashes, word_spans, written
+from .common import chunks, COEF, column, few, LOWER, mix, ranges, task, text_buffers, width, word_hashes, word_spans, written
 from .components import components
 from .positions import SCHEMA, deal, gather, join_parts, judge, split_parts
 
-BITS = 512  # least bits of a parity sketch; larger sets have 4 to 8 for each n-gram
+BITS = 1024  # least bits of a parity sketch; larger sets have 4 to 8 for each n-gram
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int):
@@ -185,7 +185,7 @@ def _blocks_of(info: DataFrame, percent: int) -> DataFrame:
     buckets = width(info.sparkSession)
     e = _entries(info).repartition(buckets, "g").mapInArrow(task(_columns(percent)), "key long, c binary, g long, place long")
     rows = written(e.groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("cols")), "ngram-rows")
-    classes = lambda sketch, some: info.join(some.select("c").distinct(), "c", "left_semi").groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
+    classes = lambda sketch, some: info.join(few(some.select("c").distinct()), "c", "left_semi").groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
     with_short = rows.join(classes("short", rows), "c").select("key", "c", "n", "sketch", "cols")
     left = written(with_short.repartition(buckets, "key").mapInArrow(task(_survivors(percent)), "key long, c binary"), "ngram-left")
     rows = rows.join(left, ["key", "c"], "left_semi")
@@ -467,9 +467,6 @@ def _short_fronts(rows: DataFrame) -> DataFrame:
     return rows.select("c", "id", "n", "front").mapInArrow(task(run), "c binary, id long, n long, front binary")
 
 
-BROADCAST_ROWS = 200_000  # of 24 bytes: larger tables of candidates are shuffled
-
-
 def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id that
     links lead to; null without id)."""
@@ -483,13 +480,10 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     forest = written(blocks.repartition(n, "key").mapInArrow(task(_spanning(percent)), pair).distinct(), "ngram-forest")
     # whoever may link with anyone is in a forest: all others have no part in what follows
     members = forest.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    one = linked.join(members, "c").groupBy("c").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front"))
+    one = linked.join(few(members), "c").groupBy("c").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front"))
     one = written(_short_fronts(one), "ngram-fronts")
     blocks = written(blocks.join(one.select("c"), "c", "left_semi"), "ngram-blocks")
-    ids = one.select("c", "id")
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    texts = written(docs.join(ids, "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
+    texts = written(docs.join(few(one.select("c", "id")), "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
 
     def product(pairs: DataFrame) -> DataFrame:
         return written(_product(pairs, texts, k, percent), "ngram-links")
@@ -500,11 +494,9 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     edges = product(_bounded(forest, one, percent))
     labels = written(components(edges), "ngram-labels")
-    for _ in range(2):  # a few links each, while they connect more
-        rest = apart(False)
-        more = product(_bounded(rest, one, percent)) if rest.take(1) else None
-        if more is None or not more.take(1):
-            break
+    rest = apart(False)
+    more = product(_bounded(rest, one, percent)) if rest.take(1) else None
+    if more is not None and more.take(1):
         edges = edges.unionByName(more)
         labels = written(components(edges), "ngram-labels")
     if rest.take(1):

@@ -150,10 +150,11 @@ def test_ngram_join(spark, texts):
 
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7), (None, 1), (3, 2), (9, 8), (8, 1)], "a long, b long")
-    assert {r.node: r.label for r in components.components(e).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 1, 9: 1}
+    for bound in (0, 1000):  # stars, and one task
+        assert {r.node: r.label for r in components.components(e, one_task=bound).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 1, 9: 1}
     path = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.label for r in components.components(path).collect()} == {0}
-    assert components.components(e.limit(0)).count() == 0
+    assert {r.label for r in components.components(path, one_task=0).collect()} == {0}
+    assert components.components(e.limit(0)).count() == components.components(e.limit(0), one_task=-1).count() == 0
 
 
 # -------------------------------------------------------------------- tokens
