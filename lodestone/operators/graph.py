@@ -94,15 +94,14 @@ def impacted_tests(files: DataFrame, changed: DataFrame, edges: DataFrame | None
     edges = import_edges(files) if edges is None else edges
     kind = files.select("path", "is_test")
     start = changed.select(paths.strip_dots(F.col("path")).alias("path")).distinct()
-    frontier, visited = start, start
-    found = start.join(kind.where("is_test"), "path", "left_semi")
-    for _ in range(depth):
-        reached = edges.join(frontier, edges["target"] == frontier["path"], "left_semi").select(F.col("importer").alias("path")).distinct()
-        reached = reached.join(visited, "path", "left_anti").join(kind, "path")
-        found = found.unionByName(reached.where("is_test").select("path"))
-        frontier = reached.where(~F.col("is_test")).select("path")
-        visited = visited.unionByName(reached.select("path"))
-    return found.distinct()
+    seen = start.select("path", F.lit(0).alias("level"), F.lit(True).alias("grows"))
+    for k in range(depth):
+        front = seen.where((F.col("level") == k) & F.col("grows")).select(F.col("path").alias("target"))
+        reached = edges.join(front, "target").select(F.col("importer").alias("path")).distinct()
+        reached = reached.join(seen.select("path"), "path", "left_anti").join(kind, "path")
+        seen = seen.unionByName(reached.select("path", F.lit(k + 1).alias("level"), (~F.col("is_test")).alias("grows")))
+    own = start.join(kind.where("is_test"), "path", "left_semi")
+    return seen.where("level > 0 and not grows").select("path").unionByName(own).distinct()
 
 
 def relevance(
