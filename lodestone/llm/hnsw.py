@@ -8,6 +8,11 @@ diversity rule (a candidate nearer to a chosen neighbour than to the node is
 skipped), linked both ways and filled up.  Equal vectors are one node with all
 ids, so copies neither cut the graph apart nor crowd out neighbours.
 
+Tight clusters larger than the candidate pools have no links leading out of
+them.  So each layer keeps entry points: one in every component of its graph of
+nearest neighbours, and more until links lead from them to every node.  A search
+of a layer begins at the nearest of these and of what the layer above found.
+
 Queries travel in blocks to every shard, are searched together (each step
 expands the best unexpanded candidate of every query at once), and the shards'
 results are merged by exact distance, ties to the smaller id.
@@ -29,6 +34,7 @@ from .common import column, task, written
 
 SHARD = 8192  # vectors of a shard, about
 QUERIES = 512  # queries of a block
+NEAREST = 4  # neighbours that tie rows to a component
 
 
 def valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -40,9 +46,43 @@ def valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
+def _entries(x: np.ndarray, near: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Rows to begin at: the one nearest to the mean of every component of the
+    graph ``near``, and as many more as it takes to reach all along ``links``."""
+    n = len(x)
+    a, b = np.repeat(np.arange(n), near.shape[1]), near.ravel()
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    label = np.unique(label, return_inverse=True)[1]
+    mean = np.zeros((label.max() + 1, x.shape[1]))
+    np.add.at(mean, label, x)
+    mean /= np.bincount(label)[:, None]
+    o = np.lexsort((((x - mean[label]) ** 2).sum(1), label))
+    entries = list(o[np.searchsorted(label[o], np.arange(len(mean)))])
+    seen = np.zeros(n, bool)
+    new = np.array(entries)
+    while True:
+        while len(new):
+            seen[new] = True
+            new = np.unique(links[new])
+            new = new[new >= 0]
+            new = new[~seen[new]]
+        if seen.all():
+            return np.array(entries)
+        new = np.flatnonzero(~seen)[:1]
+        entries.append(new[0])
+
+
 class Graph:
-    """Flat arrays of one shard's graph.  ``layers``: (nodes, neighbours) from
-    the bottom up; neighbours index the matrix, -1 fills a row."""
+    """Flat arrays of one shard's graph.  ``layers``: (nodes, neighbours, entry
+    points) from the bottom up; the latter two index the matrix, -1 fills a row."""
 
     def __init__(self, vecs: np.ndarray, layers: list):
         self.vecs, self.layers = vecs, layers
@@ -54,7 +94,7 @@ class Graph:
         level = np.floor(-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(m)).astype(int)
         layers, nodes, k = [], np.arange(n), 0
         while True:
-            layers.append((nodes, cls._link(vecs, nodes, 2 * m if k == 0 else m)))
+            layers.append((nodes, *cls._link(vecs, nodes, 2 * m if k == 0 else m)))
             k += 1
             upper = nodes[level[nodes] >= k]
             if len(nodes) <= m or not len(upper):
@@ -62,11 +102,11 @@ class Graph:
             nodes = upper
 
     @staticmethod
-    def _link(vecs: np.ndarray, nodes: np.ndarray, width: int) -> np.ndarray:
+    def _link(vecs: np.ndarray, nodes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         x = vecs[nodes]
         n, pool = len(nodes), min(len(nodes) - 1, 2 * width)
         if pool < 1:
-            return np.full((n, 1), -1, np.int32)
+            return np.full((n, 1), -1, np.int32), nodes
         sq = np.einsum("ij,ij->i", x, x)
         near = np.empty((n, pool), np.int64)
         far = np.empty((n, pool), x.dtype)
@@ -111,8 +151,9 @@ class Graph:
         rank = np.arange(len(u)) - first[u]
         out = np.full((n, width), -1, np.int32)
         ok = rank < width
-        out[u[ok], rank[ok]] = nodes[v[ok]]
-        return out
+        out[u[ok], rank[ok]] = v[ok]
+        entries = nodes[_entries(x, near[:, :NEAREST], out)]
+        return np.where(out >= 0, nodes[out], -1).astype(np.int32), entries
 
     def _distance(self, q: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """Squared distances of each query to its row of nodes."""
@@ -123,29 +164,31 @@ class Graph:
         """(nodes, squared distances) of about the k nearest of every query;
         -1 fills rows of small shards."""
         n, b = len(self.vecs), len(q)
-        at = np.full(b, self.layers[-1][0][0])
-        best = self._distance(q, at[:, None])[:, 0]
-        for nodes, links in self.layers[:0:-1]:  # greedy walk through the upper layers
+        ef = min(max(ef, k), n)
+        pool, dist = np.full((b, 0), -1), np.full((b, 0), np.inf)
+        for nodes, links, entries in self.layers[::-1]:
             row = np.full(n, -1)
             row[nodes] = np.arange(len(nodes))
-            live = np.arange(b)
-            while len(live):
-                near = links[row[at[live]]]
-                d = np.where(near >= 0, self._distance(q[live], np.maximum(near, 0)), np.inf)
-                j = d.argmin(1)
-                got = d[np.arange(len(live)), j]
-                better = got < best[live]
-                move = live[better]
-                at[move], best[move] = near[better, j[better]], got[better]
-                live = move
-        links = self.layers[0][1]
-        ef = min(max(ef, k), n)
-        pool = np.full((b, ef), -1)
-        dist = np.full((b, ef), np.inf)
-        done = np.ones((b, ef), bool)
-        pool[:, 0], dist[:, 0], done[:, 0] = at, best, False
-        seen = np.zeros((b, n), bool)
-        seen[np.arange(b), at] = True
+            pool, dist = self._beam(q, links, row, entries, pool, dist, ef)
+        return pool[:, :k], dist[:, :k]
+
+    def _beam(self, q: np.ndarray, links: np.ndarray, row: np.ndarray, entries: np.ndarray, pool: np.ndarray, dist: np.ndarray, ef: int):
+        """The ``ef`` best of one layer, from its entry points and the nodes of
+        ``pool``, nearest first."""
+        b = len(q)
+        seen = np.zeros((b, len(self.vecs)), bool)
+        i, c = np.nonzero(pool >= 0)
+        seen[i, pool[i, c]] = True
+        d = self.norms[entries] - 2 * q @ self.vecs[entries].T + np.einsum("ij,ij->i", q, q)[:, None]
+        d = np.where(seen[:, entries], np.inf, np.maximum(d, 0))
+        seen[:, entries] = True
+        pool, dist = np.concatenate([pool, np.where(np.isfinite(d), entries, -1)], 1), np.concatenate([dist, d], 1)
+        if pool.shape[1] < ef:
+            more = ((0, 0), (0, ef - pool.shape[1]))
+            pool, dist = np.pad(pool, more, constant_values=-1), np.pad(dist, more, constant_values=np.inf)
+        o = np.argsort(dist, axis=1, kind="stable")[:, :ef]
+        pool, dist = np.take_along_axis(pool, o, 1), np.take_along_axis(dist, o, 1)
+        done = ~np.isfinite(dist)
         live = np.arange(b)
         while len(live):
             open_d = np.where(done[live], np.inf, dist[live])
@@ -155,18 +198,17 @@ class Graph:
             if not len(live):
                 break
             done[live, j] = True
-            near = links[pool[live, j]]
+            near = links[row[pool[live, j]]]
             ok = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
             i, c = np.nonzero(ok)
             seen[live[i], near[i, c]] = True
             d = np.where(ok, self._distance(q[live], np.maximum(near, 0)), np.inf)
-            allp = np.concatenate([pool[live], near], 1)
+            allp = np.concatenate([pool[live], np.where(ok, near, -1)], 1)
             alld = np.concatenate([dist[live], d], 1)
             alldone = np.concatenate([done[live], ~ok], 1)
             o = np.argsort(alld, axis=1, kind="stable")[:, :ef]
             pool[live], dist[live], done[live] = (np.take_along_axis(x, o, 1) for x in (allp, alld, alldone))
-            done[live] |= ~np.isfinite(dist[live])
-        return pool[:, :k], dist[:, :k]
+        return pool, dist
 
 
 INDEX = "shard int, ids binary, owner binary, vecs binary, dim int, layers binary"

@@ -308,6 +308,21 @@ def test_hnsw(spark):
     assert hnsw.search(hnsw.build_index(few.limit(0)), few.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("clusters, sigma", [(20, 0.1), (40, 0.3), (80, 0.1)])
+def test_hnsw_tight_clusters(clusters, sigma):
+    rnd = np.random.default_rng(clusters)
+    x = np.repeat(rnd.normal(size=(clusters, 64)), 8000 // clusters, 0)
+    x = rnd.permutation(x + sigma * rnd.normal(size=x.shape)).astype(np.float32)
+    q = np.arange(0, len(x), 40)
+    got, _ = hnsw.Graph.build(x).search(x[q], 11, 256)
+    hits = []
+    for i, near in zip(q, got.tolist()):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        hits.append(len(set(np.argsort(d)[:10].tolist()) & set(near)))
+    assert sum(hits) >= 0.95 * 10 * len(q) and min(hits) > 0
+
+
 # --------------------------------------------------------------------- WARC
 
 
