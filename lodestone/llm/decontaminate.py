@@ -7,13 +7,18 @@ embedding positions agree often.  Each of ``rounds`` repetitions draws its own
 bits and positions; windows of a document (from every word start) whose samples
 are those of a benchmark item's window are candidates.  An item has a window at
 each of its words, so that edits anywhere leave others in place, which together
-with the repetitions sets the recall.  Samples are compared as the walk goes on,
-and windows that agree with no item leave early; candidates whose whole
-embeddings differ in over half of the steps leave too.
+with the repetitions sets the recall.  Where ``rounds`` is not given, items of
+the block, the shortest third of them also by themselves, are edited as much as
+``similarity`` admits (random edits, and a typo in every word), and repetitions
+are added until the share ``recall`` of the edited items is found, at most
+``MOST_ROUNDS``.  Samples are compared as the walk goes on, and windows that
+agree with no item leave early; candidates whose whole embeddings differ in over
+half of the steps leave too.
 
 Each candidate is verified exactly: the item-sized window around it is searched
 for the substring of least edit distance (Myers' bit vectors); the document is
 contaminated if that is at most ``1 - similarity`` of the item's characters.
+ASCII items go through the same recurrence many at a time first.
 
 A-Z count as lower case and white space as spaces.  Null texts match nothing.
 Items of fewer than ``least`` characters name no passage and are skipped.  Items
@@ -24,6 +29,8 @@ keys and further columns need no care; repeated items match each.
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import chunks, column, LOWER, mix, ranges, SPACE, task, text_buffers, word_spans
 
-STEPS, SAMPLES = 56, 13
+STEPS, SAMPLES = 40, 10
+MOST_ROUNDS = 24
 BLOCK_BYTES = 4 << 20  # of item text sent to the tasks at once
 _FOLD = np.where(SPACE, np.uint8(32), LOWER)
 
@@ -119,6 +127,54 @@ def least_distance(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _within(tests: list) -> np.ndarray:
+    """Which (.., pattern, text, most) have a least distance of at most
+    ``most``: ``least_distance`` for many at once, in words of 64 bits.  Patterns
+    that are not ASCII stay."""
+    plain = np.array([x[-3].isascii() and bool(x[-3]) for x in tests], bool)
+    out = ~plain
+    use = np.flatnonzero(plain)
+    if not len(use):
+        return out
+    patterns = {p: k for k, p in enumerate(dict.fromkeys(tests[i][-3] for i in use))}
+    n, width = len(use), -(-max(map(len, patterns)) // 64)
+    peq = np.zeros((width, len(patterns) * 256), np.uint64)  # 255 matches nothing: other characters, and the end
+    for p, k in patterns.items():
+        c, at = np.frombuffer(p.encode(), np.uint8).astype(np.int64), np.arange(len(p))
+        np.bitwise_or.at(peq, (at // 64, k * 256 + c), np.uint64(1) << (at % 64).astype(np.uint64))
+    longest = max(len(tests[i][-2]) for i in use)
+    text = np.full((longest, n), 255, np.int64)
+    for k, i in enumerate(use):
+        c = np.frombuffer(tests[i][-2].encode("utf-32-le"), "<u4")
+        text[: len(c), k] = np.where(c < 128, c, 255)
+    text += np.array([patterns[tests[i][-3]] * 256 for i in use])
+    size = np.array([len(tests[i][-3]) for i in use])
+    tops = [np.where((size - 1) // 64 == w, np.uint64(1) << ((size - 1) % 64).astype(np.uint64), np.uint64(0)) for w in range(width)]
+    one, high = np.uint64(1), np.uint64(63)
+    vp, vn = [np.full(n, ~np.uint64(0)) for _ in range(width)], [np.zeros(n, np.uint64) for _ in range(width)]
+    score, best = size.copy(), size.copy()
+    for row in text:
+        carry = p_in = n_in = np.zeros(n, np.uint64)
+        for w in range(width):
+            eq = peq[w].take(row)
+            a = eq & vp[w]
+            total = a + vp[w]
+            over = total < a
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            d0 = (total ^ vp[w]) | eq | vn[w]
+            hp = vn[w] | ~(d0 | vp[w])
+            hn = d0 & vp[w]
+            score += ((hp & tops[w]) != 0).astype(np.int64) - ((hn & tops[w]) != 0)
+            p_out, n_out = hp >> high, hn >> high
+            hp, hn = hp << one | p_in, hn << one | n_in
+            p_in, n_in = p_out, n_out
+            vp[w], vn[w] = hn | ~(d0 | hp), d0 & hp
+        np.minimum(best, score, out=best)
+    out[use] = best <= np.array([tests[i][-1] for i in use])
+    return out
+
+
 class Items:
     """Benchmark items with their sketches."""
 
@@ -140,18 +196,23 @@ class Items:
         starts = [s[s - f <= max(0, n - STEPS // 2)] for s, f, n in zip(starts, self.first, size)]
         self.starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
         self.item = np.searchsorted(self.first, self.starts, side="right") - 1
-        self.sketches = [Sketch(r) for r in range(rounds)]
-        self.tables, self.keys = [], []
-        for s in self.sketches:
-            levels = s.walk(self.flat, self.starts)
-            tables = []
-            for key in levels:
-                t = np.zeros(1 << 20, bool)
-                t[(key >> np.uint64(44)).astype(np.int64)] = True
-                tables.append(t)
-            order = np.argsort(levels[-1], kind="stable")
-            self.tables.append(tables)
-            self.keys.append((levels[-1][order], order))
+        self.sketches, self.tables, self.keys = [], [], []
+        for r in range(rounds):
+            self.sketch(r)
+
+    def sketch(self, seed: int) -> None:
+        """Adds a repetition."""
+        s = Sketch(seed)
+        levels = s.walk(self.flat, self.starts)
+        tables = []
+        for key in levels:
+            t = np.zeros(1 << 20, bool)
+            t[(key >> np.uint64(44)).astype(np.int64)] = True
+            tables.append(t)
+        order = np.argsort(levels[-1], kind="stable")
+        self.sketches.append(s)
+        self.tables.append(tables)
+        self.keys.append((levels[-1][order], order))
 
     def candidates(self, data: np.ndarray, offs: np.ndarray):
         """Distinct (document, item, byte where the item would begin)."""
@@ -179,9 +240,8 @@ class Items:
         got = self.candidates(data, offs)
         done: set = set()
         tried: dict = {}
+        open_: list = []
         for doc, item, begin in got.tolist():
-            if (doc, item) in done:
-                continue
             text = self.texts[item]
             most = int((1 - self.similarity) * len(text) + 1e-9)
             near = tried.get((doc, item))
@@ -192,7 +252,17 @@ class Items:
             slack = 4 * most + 8
             a = max(int(offs[doc]), begin - slack)
             z = min(int(offs[doc + 1]), begin + len(text.encode()) + slack)
+            if not (data[a:z] & 128).any():  # a byte a character: no start is further off than all edits
+                slack = most + most // 2 + 8
+                a, z = max(a, begin - slack), min(z, begin + len(text) + slack)
             part = _FOLD[data[a:z]].tobytes().decode("utf-8", "ignore")
+            open_.append((doc, item, a, text, part, most))
+        open_.sort(key=lambda x: len(x[3]))
+        within = np.concatenate([_within(open_[k : k + 2048]) for k in range(0, len(open_), 2048)] or [np.zeros(0, bool)])
+        for k in sorted(np.flatnonzero(within).tolist(), key=lambda k: open_[k][:3]):
+            doc, item, a, text, part, most = open_[k]
+            if (doc, item) in done:
+                continue
             edits, end = least_distance(text, part)
             if edits <= most:
                 done.add((doc, item))
@@ -200,6 +270,46 @@ class Items:
                 yield doc, item, edits, len(before) + end
 
 
+def _edited(text: str, most: int, rnd: random.Random, words: bool) -> str:
+    """The text with ``most`` random edits, or with one in every word."""
+    out = list(text)
+    if words:
+        ends = [k for k, c in enumerate(out) if c == " "] + [len(out)]
+        at = [rnd.randrange(a, z) for a, z in zip([0] + [k + 1 for k in ends], ends) if z > a]
+        at = rnd.sample(at, min(most, len(at)))
+    else:
+        at = rnd.sample(range(len(out)), most)
+    for k in at:
+        c = rnd.choice(text)
+        out[k] = rnd.choice(["", c, out[k] + c])
+    return "".join(out)
+
+
+def rounds_for(texts: list[str], similarity: float, recall: float = 0.99, sample: int = 60) -> tuple[int, float, float]:
+    """(least number of repetitions by which edited items are found with this
+    recall at the full threshold, recall of all, recall of the shortest third)."""
+    by = sorted((t for t in texts if t), key=lambda t: (len(t), t))
+    if not by:
+        return 1, 1.0, 1.0
+    third = by[: max(1, len(by) // 3)]
+    pick = lambda xs: [xs[k * len(xs) // min(sample, len(xs))] for k in range(min(sample, len(xs)))]
+    low, rnd = pick(third), random.Random(17)
+    items = Items([], low + pick(by), 0, similarity)
+    rows = [(k, _edited(t, int((1 - similarity) * len(t) + 1e-9), rnd, way % 2 == 1)) for k, t in enumerate(items.texts) for way in range(4)]
+    want = np.array([k for k, _ in rows])
+    data, offs = text_buffers(pa.array([f"some words {t} and others" for _, t in rows], pa.string()))
+    hit = np.zeros(len(rows), bool)
+    short = want < len(low)
+    for r in range(MOST_ROUNDS):
+        items.sketches, items.tables, items.keys = [], [], []
+        items.sketch(r)
+        got = items.candidates(data, offs)
+        hit[got[got[:, 1] == want[got[:, 0]], 0]] = True
+        if min(hit[short].mean(), hit[~short].mean()) >= recall:
+            break
+    return r + 1, float(hit[~short].mean()), float(hit[short].mean())
+
+
 _BUILT: dict = {}
 
 
@@ -213,33 +323,34 @@ def built(block: tuple) -> Items:
     return _BUILT[key]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, least: int, rounds: int, similarity: float):
+def _blocks(items: DataFrame, id_col: str, text_col: str, least: int, rounds: int | None, similarity: float, recall: float):
     """Items in blocks of bounded size, fetched one block's rows at a time."""
+    made = lambda: (tuple(ids), tuple(texts), rounds or rounds_for(texts, similarity, recall)[0], similarity)
     rows = items.where(F.length(text_col) >= least).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ids, texts, size = [], [], 0
     for r in rows.toLocalIterator():
         if ids and size + len(r["text"]) > BLOCK_BYTES:
-            yield tuple(ids), tuple(texts), rounds, similarity
+            yield made()
             ids, texts, size = [], [], 0
         ids.append(r["id"])
         texts.append(r["text"])
         size += len(r["text"])
     if ids:
-        yield tuple(ids), tuple(texts), rounds, similarity
+        yield made()
 
 
 FOUND = "id long, item_id long, n_edits long, item_chars long, end_char long"
 
 
 def find(
-    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int = 6, least: int = 40,
-    id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None, least: int = 40,
+    id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.99,
 ) -> DataFrame:
     """One row per document and item it contains: id, item_id, n_edits,
     item_chars, end_char (where the passage ends in the document)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     out = None
-    for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity):
+    for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity, recall):
 
         def run(batches, block=block):
             block = built(block)
@@ -265,11 +376,11 @@ def find(
 
 
 def clean(
-    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int = 6, least: int = 40,
-    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None, least: int = 40,
+    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.99,
 ) -> DataFrame:
     """The input without the documents that contain an item."""
-    for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity):
+    for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity, recall):
 
         def run(batches, block=block):
             block = built(block)

@@ -282,6 +282,30 @@ def test_decontamination(spark):
         assert decontaminate.least_distance(p, t)[0] == min(brute.edit_distance(p, t[i:j]) for i in range(len(t) + 1) for j in range(i, len(t) + 1))
 
 
+def test_decontamination_recall_at_the_threshold(spark):
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8))) for _ in range(500)]
+    say = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    item = {i: say(rnd.randint(14, 40)) for i in range(60)}
+    docs = {}
+    for i, t in item.items():
+        for n in range(3):
+            x = list(t)
+            for k in rnd.sample(range(len(x)), int(0.2 * len(x) + 1e-9)):
+                x[k] = rnd.choice(["", "q", x[k] + "q"])
+            docs[100 * n + i] = f"{say(9)} {''.join(x)} {say(9)}"
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = decontaminate.find(df, spark.createDataFrame(list(item.items()), "item_id long, text string")).collect()
+    pairs = [(say(rnd.randint(1, 30))[:-1] or "a", say(rnd.randint(1, 40))) for _ in range(60)] + [(t, docs[i]) for i, t in item.items()]
+    for slack in (0, -1):
+        least = [decontaminate.least_distance(p, t)[0] + slack for p, t in pairs]
+        assert decontaminate._within([(p, t, m) for (p, t), m in zip(pairs, least)]).all() == (slack == 0)
+    assert not decontaminate._within([(p, t, m) for (p, t), m in zip(pairs, least)]).any()
+    hit = [(d, d % 100) in {(r.doc_id, r.item_id) for r in found} for d in docs]
+    short = [h for h, d in zip(hit, docs) if len(item[d % 100]) < 110]
+    assert sum(hit) >= 0.97 * len(hit) and sum(short) >= 0.95 * len(short)
+
+
 # ---------------------------------------------------------------------- ANN
 
 
