@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 # fixed values: key characters, context words and path words
 CANDIDATE = r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{12,}+"
 KNOWN = "AKIA|ASIA|AIza|eyJ"
+MIXED = r"^(?=.*[a-z])(?=.*[A-Z]).*[a-z][A-Z].*[a-z][A-Z]"  # case that changes more than once
 SECRET_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret)"
 DIGEST_WORDS = r"(?i)(sha-?\d*|md5|commit|checksum|digest|etag|revision|rev|uuid|guid|hash|fingerprint|integrity|blob)"
 TEST_PATHS = r"(?i)(test|spec|example|sample|fixture|mock|demo|doc)"
@@ -184,13 +185,16 @@ def _judged(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None
     as structs of value, left, right, probability)."""
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit("")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # a candidate holds a digit or a known beginning: digit-free words are text,
-    # and so are whole texts with neither
-    useful = lambda v: v.rlike(f"[0-9]|^({KNOWN})")
+    # a candidate holds a digit, a known beginning or mixed case, or stands after
+    # a secret word or an assignment: other words are text, and so are whole
+    # texts with none of these
+    plain = lambda v: v.rlike(f"[0-9]|^({KNOWN})|{MIXED}")
+    keyed = lambda left: left.rlike(r"[=:]\s*[\"'`]?$") | F.regexp_extract(left, r"(\S*\s*\S*\s*\S*)$", 1).rlike(SECRET_WORDS)
+    useful = lambda v, left: plain(v) | keyed(left)
     got = docs.withColumn("__path", path).withColumn(
-        "__v", F.when(text.rlike(f"[0-9]|{KNOWN}"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
+        "__v", F.when(text.rlike(f"[0-9]|{KNOWN}|[=:]|[a-z][A-Z]|{SECRET_WORDS}"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
     )
-    got = got.withColumn("__t", F.when(F.exists("__v", useful), F.split(text, CANDIDATE, -1)))
+    got = got.withColumn("__t", F.when(F.size("__v") > 0, F.split(text, CANDIDATE, -1)))
     got = got.withColumn(
         "__v",
         F.when(
@@ -204,7 +208,7 @@ def _judged(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None
         ),
     )
     got = got.withColumn(
-        "__f", F.transform("__v", lambda x: F.when(useful(x["value"]), feature_array(x["value"], x["left"], x["right"], F.col("__path"))))
+        "__f", F.transform("__v", lambda x: F.when(useful(x["value"], x["left"]), feature_array(x["value"], x["left"], x["right"], F.col("__path"))))
     )
     got = got.withColumn("__p", F.transform("__f", lambda f: F.when(f.isNull(), F.lit(0.0)).otherwise(forest.probability(f))))
     return got.withColumn(

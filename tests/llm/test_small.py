@@ -249,6 +249,20 @@ def test_secrets_held_out(spark):
     assert judged.agg(F.avg(((F.col("p") >= 0.5).cast("int") == F.col("label")).cast("int"))).first()[0] > 0.95
 
 
+def test_secrets_without_digits_through_scan(spark):
+    rows = secrets.labelled_findings(spark, 6000)
+    test = F.pmod(F.xxhash64("value"), F.lit(4)) == 0
+    forest = secrets.train(rows.where(~test))
+    held = rows.where(test).withColumn("doc_id", F.monotonically_increasing_id()).withColumn("text", F.concat("left", "value", "right")).cache()
+    got = {(r.doc_id, r.value) for r in secrets.scan(held.select("doc_id", "text", F.col("path").alias("source")), forest).collect()}
+    want = held.where("label = 1").collect()
+    bare = [r for r in want if not any(c.isdigit() for c in r.value)]
+    assert bare and sum((r.doc_id, r.value) in got for r in bare) >= 0.8 * len(bare)
+    assert sum((r.doc_id, r.value) in got for r in want) >= 0.95 * len(want)
+    df = spark.createDataFrame([(1, 'x password = "QwErtYuiOpAsDfGh" y', "src1"), (2, "see getElementByIdentifier now", "src1")], "doc_id long, text string, source string")
+    assert {r.doc_id: r.text for r in secrets.redact(df, forest).collect()} == {1: 'x password = "[SECRET]" y', 2: "see getElementByIdentifier now"}
+
+
 # ---------------------------------------------------------- decontamination
 
 
