@@ -71,3 +71,43 @@ def edit_distance(a: str, b: str) -> int:
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def secret_findings(texts: dict, path: str, forest, threshold: float = 0.5) -> set:
+    """(id, start, value) by Python's own expressions, every candidate judged."""
+    import regex
+    from lodestone.llm import secrets as s
+
+    java = regex.compile(s.CANDIDATE)
+    words, near_words = regex.compile(s._words()), regex.compile(s.SECRET_WORDS)
+    keyed = regex.compile(s.SECRET_WORDS + r"[A-Za-z0-9_.\-]{0,16}[\"'`\])]?\s{0,3}(?::=|=>|[=:])[=>]?\s{0,3}[\"'`]?$")
+    digest = regex.compile(s.DIGEST_WORDS)
+    out = set()
+    for i, t in texts.items():
+        found = [(m.start(), m.group()) for m in java.finditer(t or "")]
+        for k, (at, v) in enumerate(found):
+            before = found[k - 1][0] if k else 0
+            left = t[before:at][-60:]
+            right = t[at + len(v) : found[k + 1][0] if k + 1 < len(found) else len(t)][:40]
+            kind = "".join("a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "_" for c in v)
+            n, near = len(v), left[-s.NEAR :]
+            f = {
+                "length": min(n, 200), "lower": kind.count("a") / n, "upper": kind.count("A") / n, "digit": kind.count("0") / n, "other": kind.count("_") / n,
+                "changes": (len(regex.findall("a+|A+|0+|_+", kind)) - 1) / n, "distinct": len(set(v[:64])) / min(n, 64),
+                "hexadecimal": bool(regex.match(r"^([0-9a-f]+|[0-9A-F]+)$", v)), "coverage": 1 - len(words.sub("", v.lower())) / n,
+                "shape": bool(regex.match(f"(?:{s.SHAPES})", v)), "secret_before": bool(near_words.search(near)),
+                "digest_near": bool(digest.search(near) or digest.search(right[:16])), "assigned": bool(regex.search(s.ASSIGNED, left)), "keyed": bool(keyed.search(near)),
+                "quoted": bool(regex.search(r"[\"'`]$", left) and regex.match(r"[\"'`]", right)),
+                "joined": bool(regex.search(r"[.@%&#\\~]$", left) or regex.match(r"[.@\\~][A-Za-z0-9]", right)), "called": bool(regex.match(r"[.\[({]", right)),
+                "test_path": bool(regex.search(s.TEST_PATHS, path)), "config_path": bool(regex.search(s.CONFIG_PATHS, path)),
+            }
+            row = [float(f[x]) for x in s.FEATURES]
+
+            def walk(node):
+                while isinstance(node, tuple):
+                    node = node[2] if row[node[0]] <= node[1] else node[3]
+                return node
+
+            if sum(map(walk, forest.trees)) / len(forest.trees) >= threshold:
+                out.add((i, at, v))
+    return out
