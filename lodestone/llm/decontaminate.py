@@ -3,28 +3,31 @@
 The CGK embedding walks along a string: at step j it writes the current
 character, and moves on if a random bit of (j, character) says so.  Strings at a
 small edit distance get embeddings at a small Hamming distance, so samples of
-embedding positions agree often.  Each of ``rounds`` repetitions draws its own
-bits and positions; windows of a document (from every word start) whose samples
-are those of a benchmark item's window are candidates.  An item has a window at
-each of its words, so that edits anywhere leave others in place, which together
-with the repetitions sets the recall.  Where ``rounds`` is not given, items of
-the block, the shortest third of them also by themselves, are edited as much as
-``similarity`` admits (random edits, and a typo in every word), and repetitions
-are added until the share ``recall`` of the edited items is found, at most
-``MOST_ROUNDS``.  Samples are compared as the walk goes on, and windows that
-agree with no item leave early; candidates whose whole embeddings differ in over
-half of the steps leave too.
+embedding positions agree often.  Each repetition draws its own positions, each
+eighth its own walk; windows of a document (from every word start) whose samples
+are those of a benchmark item's window, and whose embeddings agree in half of the
+steps, are candidates.
+
+An item has a window at each of its words: a walk over a whole item of which a
+fifth is edited hardly ever agrees with the item's, while some of its words are
+followed by steps that do.  Items come in classes of length, each with its steps
+and samples.  Where ``rounds`` is not given, items of a class, the shortest third
+of them also by themselves, are edited as much as ``similarity`` admits (random
+edits, and a typo in every word), and repetitions are added until the share
+``recall`` of the edited items is found, at most ``MOST_ROUNDS``.
 
 Each candidate is verified exactly: the item-sized window around it is searched
 for the substring of least edit distance (Myers' bit vectors); the document is
 contaminated if that is at most ``1 - similarity`` of the item's characters.
-ASCII items go through the same recurrence many at a time first.
-
-A-Z count as lower case and white space as spaces.  Null texts match nothing.
-Items of fewer than ``least`` characters name no passage and are skipped.  Items
-are sent to the tasks in blocks of bounded size, one pass over the documents per
-block.  Documents are handled row by row, without exchange: repeated rows, hot
-keys and further columns need no care; repeated items match each.
+Many candidates go through the same recurrence at a time first.
+
+Items of fewer than ``SHORT`` bytes are found where they stand unedited between
+word borders.  A-Z count as lower case and white space as spaces.  Null texts
+match nothing, nor do null and blank items.  Items are sent to the tasks in
+blocks of bounded size, one pass over the documents per block.  Documents are
+handled row by row, whole, without exchange: repeated rows, hot keys, very long
+texts and further columns (whatever their names) need no care; repeated items,
+and items at the same place, match each.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -36,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, column, LOWER, mix, ranges, SPACE, task, text_buffers, word_spans
+from .common import chunks, column, LOWER, mix, prefix_sums, ranges, SPACE, span_hash, task, text_buffers, word_spans
 
-STEPS, SAMPLES = 40, 10
-MOST_ROUNDS = 24
+SHORT = 24  # bytes; shorter items are compared exactly
+PER_WALK, MOST_ROUNDS = 8, 96
+BLOCK = 1 << 15  # windows walked at once
 BLOCK_BYTES = 4 << 20  # of item text sent to the tasks at once
 _FOLD = np.where(SPACE, np.uint8(32), LOWER)
+_WORD = np.array([chr(c).isalnum() and c < 128 or c >= 128 for c in range(256)])
 
 
 def _starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -53,50 +58,84 @@ def _starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.union1d(start, ranges(start[long], (end - start)[long]))
 
 
-class Sketch:
-    """One repetition's random bits and sampled steps."""
+class Shape:
+    """How windows of a class of items are walked and sampled: items of at
+    least ``size`` bytes, ``steps`` of a walk, ``samples`` of a sample set."""
+
+    def __init__(self, size: int, steps: int, samples: int):
+        self.size, self.steps, self.samples = size, steps, samples
+
+
+SHAPES = [Shape(80, 40, 10), Shape(SHORT, 24, 7)]  # long items first
 
-    def __init__(self, seed: int):
-        rng = np.random.default_rng([seed, 90210])
-        self.bits = rng.integers(0, 2, (STEPS, 256), dtype=np.uint8).astype(np.int32)
+
+class Walk:
+    """The random bits of one walk: the top bit of a multiple of each byte."""
+
+    def __init__(self, shape: Shape, seed: int):
+        rng = np.random.default_rng([seed, shape.steps, 90210])
+        self.steps = shape.steps
+        self.factor = rng.integers(0, 128, shape.steps).astype(np.uint8) * np.uint8(2) + np.uint8(1)
+        self.shift = rng.integers(0, 256, shape.steps).astype(np.uint8)
+
+    def embed(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The walk from every start: one row for each step."""
+        out = np.empty((self.steps, len(starts)), np.uint8)
+        pos = starts.astype(np.int64)
+        for j in range(self.steps):
+            data.take(pos, out=out[j], mode="clip")
+            pos += (out[j] * self.factor[j] + self.shift[j]) >> np.uint8(7)
+        return out
+
+
+class Samples:
+    """One repetition: sampled steps of a walk, and the items' windows by them."""
+
+    def __init__(self, shape: Shape, seed: int, items: np.ndarray):
+        rng = np.random.default_rng([seed, shape.samples, 4711])
         # one sample from each equal part of the walk
-        edges = np.linspace(0, STEPS, SAMPLES + 1).astype(int)
+        edges = np.linspace(0, shape.steps, shape.samples + 1).astype(int)
         self.at = [int(rng.integers(a, b)) for a, b in zip(edges[:-1], edges[1:])]
-        self.salt = rng.integers(1, 2**63, SAMPLES, dtype=np.uint64) | np.uint64(1)
-
-    def walk(self, data: np.ndarray, starts: np.ndarray, tables=None):
-        """Keys after each sample, for all starts; with ``tables`` of known
-        keys per sample, (index of start, last key) of those that stay."""
-        pos = starts.astype(np.int32)
-        live = np.arange(len(starts), dtype=np.int32)
-        key = np.zeros(len(starts), np.uint64)
-        out, k = [], 0
-        for j in range(self.at[-1] + 1):
-            c = data.take(pos)
-            if j == self.at[k]:
-                key = mix((key + c.astype(np.uint64) + np.uint64(1)) * self.salt[k])
-                if tables is None:
-                    out.append(key)
-                elif k >= 1:
-                    ok = tables[k][(key >> np.uint64(44)).astype(np.int32)]
-                    pos, live, key, c = pos[ok], live[ok], key[ok], c[ok]
-                k += 1
-                if k == len(self.at):
-                    break
-            pos += self.bits[j].take(c)
-        return out if tables is None else (live, key)
-
-
-    def apart(self, a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Hamming distance of the embeddings of a from p on and b from q on."""
-        p, q = p.astype(np.int64), q.astype(np.int64)
-        out = np.zeros(len(p), np.int32)
-        for j in range(STEPS):
-            c, d = a.take(p), b.take(q)
-            out += c != d
-            p += self.bits[j].take(c)
-            q += self.bits[j].take(d)
-        return out
+        self.salt = rng.integers(1, 2**63, shape.samples, dtype=np.uint64) | np.uint64(1)
+        self.front = rng.permutation(shape.samples)[:8].tolist()
+        self.known = np.zeros(1 << 20, bool)
+        self.known[self._number(items)] = True
+        self.items = items
+        key = self._key(items[self.at])
+        self.order = np.argsort(key, kind="stable")
+        self.keys = key[self.order]
+
+    def _number(self, walked: np.ndarray) -> np.ndarray:
+        """Number of 20 bits by up to eight of the samples."""
+        key = np.zeros(walked.shape[1], np.uint32)
+        for n, k in enumerate(self.front):
+            if n == 4:
+                key *= np.uint32(2654435769)
+                key ^= key >> np.uint32(15)
+            key += walked[self.at[k]].astype(np.uint32) << np.uint32(8 * (n % 4))
+        return (key * np.uint32(2246822519)) >> np.uint32(12)
+
+    def _key(self, sampled) -> np.ndarray:
+        key = np.zeros(len(sampled[0]), np.uint64)
+        for c, salt in zip(sampled, self.salt):
+            key = mix((key + c.astype(np.uint64) + np.uint64(1)) * salt)
+        return key
+
+    def agree(self, walked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(column, item window) that agree on all samples, and in at least half
+        of the steps."""
+        i = np.flatnonzero(self.known.take(self._number(walked)))
+        if not len(i):
+            return i, i
+        key, at = self._key([walked[k][i] for k in self.at]), np.arange(len(i))
+        a = np.searchsorted(self.keys, key)
+        same = self.keys[np.minimum(a, len(self.keys) - 1)] == key
+        at, key, a = at[same], key[same], a[same]
+        b = np.searchsorted(self.keys, key, side="right")
+        at, j = np.repeat(at, b - a), self.order[ranges(a, b - a)]
+        i = i[at]
+        near = 2 * (walked[:, i] == self.items[:, j]).sum(0) >= len(walked)
+        return i[near], j[near]
 
 
 def least_distance(pattern: str, text: str) -> tuple[int, int]:
@@ -129,25 +168,31 @@ def least_distance(pattern: str, text: str) -> tuple[int, int]:
 
 def _within(tests: list) -> np.ndarray:
     """Which (.., pattern, text, most) have a least distance of at most
-    ``most``: ``least_distance`` for many at once, in words of 64 bits.  Patterns
-    that are not ASCII stay."""
-    plain = np.array([x[-3].isascii() and bool(x[-3]) for x in tests], bool)
-    out = ~plain
-    use = np.flatnonzero(plain)
+    ``most``: ``least_distance`` for many at once, in words of 64 bits."""
+    out = np.zeros(len(tests), bool)
+    use = np.flatnonzero([bool(x[-3]) for x in tests])
     if not len(use):
         return out
     patterns = {p: k for k, p in enumerate(dict.fromkeys(tests[i][-3] for i in use))}
+    letters = np.array(sorted(map(ord, set("".join(patterns)))), "<u4")
+    none = len(letters)  # matches nothing: other characters, and the end
+
+    def numbers(t: str) -> np.ndarray:
+        c = np.frombuffer(t.encode("utf-32-le"), "<u4")
+        at = np.minimum(np.searchsorted(letters, c), none - 1)
+        return np.where(letters[at] == c, at, none)
+
     n, width = len(use), -(-max(map(len, patterns)) // 64)
-    peq = np.zeros((width, len(patterns) * 256), np.uint64)  # 255 matches nothing: other characters, and the end
+    peq = np.zeros((width, len(patterns) * (none + 1)), np.uint64)
     for p, k in patterns.items():
-        c, at = np.frombuffer(p.encode(), np.uint8).astype(np.int64), np.arange(len(p))
-        np.bitwise_or.at(peq, (at // 64, k * 256 + c), np.uint64(1) << (at % 64).astype(np.uint64))
+        at = np.arange(len(p))
+        np.bitwise_or.at(peq, (at // 64, k * (none + 1) + numbers(p)), np.uint64(1) << (at % 64).astype(np.uint64))
     longest = max(len(tests[i][-2]) for i in use)
-    text = np.full((longest, n), 255, np.int64)
+    text = np.full((longest, n), none, np.int64)
     for k, i in enumerate(use):
-        c = np.frombuffer(tests[i][-2].encode("utf-32-le"), "<u4")
-        text[: len(c), k] = np.where(c < 128, c, 255)
-    text += np.array([patterns[tests[i][-3]] * 256 for i in use])
+        c = numbers(tests[i][-2])
+        text[: len(c), k] = c
+    text += np.array([patterns[tests[i][-3]] * (none + 1) for i in use])
     size = np.array([len(tests[i][-3]) for i in use])
     tops = [np.where((size - 1) // 64 == w, np.uint64(1) << ((size - 1) % 64).astype(np.uint64), np.uint64(0)) for w in range(width)]
     one, high = np.uint64(1), np.uint64(63)
@@ -175,70 +220,125 @@ def _within(tests: list) -> np.ndarray:
     return out
 
 
+class Windows:
+    """The windows of one class of items, with their repetitions."""
+
+    def __init__(self, shape: Shape, chosen: list[int], texts: list[bytes], rounds: int):
+        self.shape = shape
+        gap = np.zeros(shape.steps + 1, np.uint8)
+        pieces, starts, item, begin, at = [], [], [], [], 0
+        for k in chosen:  # walks end in zeros after each item
+            t = np.frombuffer(texts[k], np.uint8)
+            s = _starts(t, np.array([0, len(t)]))
+            s = s[s <= max(0, len(t) - shape.steps // 2)]
+            pieces += [t, gap]
+            starts.append(s + at)
+            begin.append(s)
+            item.append(np.full(len(s), k))
+            at += len(t) + len(gap)
+        self.flat = np.concatenate(pieces)
+        self.starts, self.begin, self.item = np.concatenate(starts), np.concatenate(begin), np.concatenate(item)
+        self.walks: list[tuple] = []
+        for r in range(rounds):
+            self.add(r)
+
+    def add(self, seed: int) -> None:
+        """Adds a repetition; ``PER_WALK`` of them share a walk."""
+        if seed % PER_WALK == 0 or not self.walks:
+            walk = Walk(self.shape, seed // PER_WALK)
+            self.walks.append((walk, walk.embed(self.flat, self.starts), []))
+        self.walks[-1][2].append(Samples(self.shape, seed, self.walks[-1][1]))
+
+    def agree(self, padded: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (index of start, index of window) that agree in a repetition."""
+        found, n = [np.zeros(0, np.int64)], len(self.starts)
+        for a in range(0, len(starts), BLOCK):
+            part, some = starts[a : a + BLOCK], []
+            for walk, _, samples in self.walks:
+                walked = walk.embed(padded, part)
+                for s in samples:
+                    i, j = s.agree(walked)
+                    if len(i):
+                        some.append((i + a) * n + j)
+            if some:
+                code = np.sort(np.concatenate(some))
+                found.append(code[np.append(True, code[1:] != code[:-1])])
+        code = np.concatenate(found)
+        return code // max(n, 1), code % max(n, 1)
+
+
 class Items:
-    """Benchmark items with their sketches."""
+    """Benchmark items: windows by class, and short items by their bytes."""
 
-    def __init__(self, ids: list, texts: list[str], rounds: int, similarity: float):
+    def __init__(self, ids: list, texts: list[str], rounds: dict | None, similarity: float):
         self.ids, self.similarity = ids, similarity
         data, offs = text_buffers(pa.array(texts, pa.string()))
-        self.texts = [_FOLD[data[i:j]].tobytes().decode() for i, j in zip(offs[:-1], offs[1:])]
-        data = _FOLD[data]
-        gap = np.zeros(STEPS + 1, np.uint8)
-        pieces, first, at = [], [], 0
-        for i, j in zip(offs[:-1], offs[1:]):  # walks end in zeros after each item
-            pieces += [data[i:j], gap]
-            first.append(at)
-            at += int(j - i) + len(gap)
-        self.flat = np.concatenate(pieces) if pieces else gap
-        self.first = np.array(first, np.int64)
-        size = np.diff(offs)
-        starts = [_starts(data[i:j], np.array([0, j - i])) + f for i, j, f in zip(offs[:-1], offs[1:], self.first)]
-        starts = [s[s - f <= max(0, n - STEPS // 2)] for s, f, n in zip(starts, self.first, size)]
-        self.starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-        self.item = np.searchsorted(self.first, self.starts, side="right") - 1
-        self.sketches, self.tables, self.keys = [], [], []
-        for r in range(rounds):
-            self.sketch(r)
-
-    def sketch(self, seed: int) -> None:
-        """Adds a repetition."""
-        s = Sketch(seed)
-        levels = s.walk(self.flat, self.starts)
-        tables = []
-        for key in levels:
-            t = np.zeros(1 << 20, bool)
-            t[(key >> np.uint64(44)).astype(np.int64)] = True
-            tables.append(t)
-        order = np.argsort(levels[-1], kind="stable")
-        self.sketches.append(s)
-        self.tables.append(tables)
-        self.keys.append((levels[-1][order], order))
+        raw = [_FOLD[data[i:j]].tobytes() for i, j in zip(offs[:-1], offs[1:])]
+        self.texts = [t.decode() for t in raw]
+        self.short: dict[int, dict[bytes, list[int]]] = {}
+        classes: dict[int, list[int]] = {}
+        for k, t in enumerate(raw):
+            if len(t.strip()) < SHORT:
+                if t.strip():
+                    self.short.setdefault(len(t.strip()), {}).setdefault(t.strip(), []).append(k)
+            else:
+                classes.setdefault(next(n for n, s in enumerate(SHAPES) if len(t) >= s.size or n + 1 == len(SHAPES)), []).append(k)
+        self.windows = {n: Windows(SHAPES[n], c, raw, (rounds or {}).get(n, 0)) for n, c in sorted(classes.items())}
 
     def candidates(self, data: np.ndarray, offs: np.ndarray):
         """Distinct (document, item, byte where the item would begin)."""
         starts = _starts(data, offs)
-        doc = np.searchsorted(offs, starts, side="right") - 1
-        padded = np.concatenate([_FOLD[data], np.zeros(STEPS + 1, np.uint8)])
-        found = []
-        for s, tables, (keys, order) in zip(self.sketches, self.tables, self.keys):
-            i, key = s.walk(padded, starts, tables)
-            a, b = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
-            j = order[ranges(a, b - a)]
-            i = np.repeat(i, b - a)
-            near = s.apart(padded, starts[i], self.flat, self.starts[j]) <= STEPS // 2
-            i, j = i[near], j[near]
-            item = self.item[j]
-            begin = starts[i] - (self.starts[j] - self.first[item])
-            found.append(np.stack([doc[i], item, begin], 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+        padded = np.concatenate([_FOLD[data], np.zeros(2, np.uint8)])
+        found = [np.zeros((3, 0), np.int64)]
+        for w in self.windows.values():
+            i, j = w.agree(padded, starts)
+            doc = np.searchsorted(offs, starts[i], side="right") - 1
+            found.append(np.stack([doc, w.item[j], starts[i] - w.begin[j]]))
+        doc, item, begin = np.concatenate(found, axis=1)
+        order = np.lexsort((begin, item, doc))
+        doc, item, begin = doc[order], item[order], begin[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] != begin[:-1])
+        return np.stack([doc[new], item[new], begin[new]], 1)
+
+    def exact(self, data: np.ndarray, offs: np.ndarray):
+        """(document, item, byte where it begins) of short items, between
+        letters, digits and bytes of other scripts on neither side."""
+        folded = _FOLD[data]
+        n = len(folded)
+        inside = np.zeros(n + 1, bool)  # whether no word ends before this byte
+        inside[1:n] = _WORD[folded[:-1]] & _WORD[folded[1:]]
+        inside[offs] = False
+        edge = np.flatnonzero(~inside[:n])
+        sums = prefix_sums(folded)
+        for size, known in self.short.items():
+            at = edge[edge + size <= n]
+            at = at[~inside[at + size]]
+            keys = list(known)
+            flat = np.frombuffer(b"".join(keys), np.uint8)
+            ends = np.arange(len(keys) + 1) * size
+            want = span_hash(prefix_sums(flat), ends[:-1], ends[1:])
+            at = at[np.isin(span_hash(sums, at, at + size), want)]
+            doc = np.searchsorted(offs, at, side="right") - 1
+            for d, a in zip(doc.tolist(), at.tolist()):
+                if a + size <= offs[d + 1]:
+                    for k in known.get(folded[a : a + size].tobytes(), ()):
+                        yield d, k, a
 
     def matches(self, batch: pa.RecordBatch, text_col: str):
         """(row, item index, edits, end character) of every contaminated pair."""
         data, offs = text_buffers(column(batch, text_col))
-        if not len(data) or not len(self.starts):
+        if not len(data):
             return
-        got = self.candidates(data, offs)
         done: set = set()
+        for doc, item, a in self.exact(data, offs) if self.short else ():
+            if (doc, item) not in done:
+                done.add((doc, item))
+                before = data[offs[doc] : a].tobytes().decode("utf-8", "ignore")
+                yield doc, item, 0, len(before) + len(self.texts[item].strip())
+        if not self.windows:
+            return
+        got = self.candidates(data, offs)
         tried: dict = {}
         open_: list = []
         for doc, item, begin in got.tolist():
@@ -285,29 +385,43 @@ def _edited(text: str, most: int, rnd: random.Random, words: bool) -> str:
     return "".join(out)
 
 
-def rounds_for(texts: list[str], similarity: float, recall: float = 0.99, sample: int = 60) -> tuple[int, float, float]:
-    """(least number of repetitions by which edited items are found with this
-    recall at the full threshold, recall of all, recall of the shortest third)."""
-    by = sorted((t for t in texts if t), key=lambda t: (len(t), t))
-    if not by:
-        return 1, 1.0, 1.0
-    third = by[: max(1, len(by) // 3)]
-    pick = lambda xs: [xs[k * len(xs) // min(sample, len(xs))] for k in range(min(sample, len(xs)))]
-    low, rnd = pick(third), random.Random(17)
-    items = Items([], low + pick(by), 0, similarity)
-    rows = [(k, _edited(t, int((1 - similarity) * len(t) + 1e-9), rnd, way % 2 == 1)) for k, t in enumerate(items.texts) for way in range(4)]
-    want = np.array([k for k, _ in rows])
-    data, offs = text_buffers(pa.array([f"some words {t} and others" for _, t in rows], pa.string()))
-    hit = np.zeros(len(rows), bool)
-    short = want < len(low)
-    for r in range(MOST_ROUNDS):
-        items.sketches, items.tables, items.keys = [], [], []
-        items.sketch(r)
-        got = items.candidates(data, offs)
-        hit[got[got[:, 1] == want[got[:, 0]], 0]] = True
-        if min(hit[short].mean(), hit[~short].mean()) >= recall:
-            break
-    return r + 1, float(hit[~short].mean()), float(hit[short].mean())
+def rounds_for(texts: list[str], similarity: float, recall: float = 0.98, sample: int = 60) -> dict[int, tuple[int, float]]:
+    """Per class of items, (least number of repetitions by which edited items
+    are found with this recall at the full threshold, that recall): of a sample
+    of all items of the class and of one of its shortest third, the lower."""
+    items = Items([], texts, None, similarity)
+    out = {}
+    for n, w in items.windows.items():
+        by = sorted({items.texts[k] for k in w.item.tolist()}, key=lambda t: (len(t), t))
+        if not by:
+            out[n] = (1, 1.0)
+            continue
+        third = by[: max(1, len(by) // 3)]
+        pick = lambda xs: [xs[k * len(xs) // min(sample, len(xs))] for k in range(min(sample, len(xs)))]
+        low, rnd = pick(third), random.Random(17)
+        some = low + pick(by)
+        rows = [(k, _edited(t, int((1 - similarity) * len(t) + 1e-9), rnd, way % 2 == 1)) for k, t in enumerate(some) for way in range(4)]
+        want = np.array([k for k, _ in rows])
+        data, offs = text_buffers(pa.array([f"some words {t} and others" for _, t in rows], pa.string()))
+        padded = np.concatenate([_FOLD[data], np.zeros(2, np.uint8)])
+        starts = _starts(data, offs)
+        doc = np.searchsorted(offs, starts, side="right") - 1
+        tried = Windows(w.shape, list(range(len(some))), [t.encode() for t in some], 0)
+        hit, short, reached = np.zeros(len(rows), bool), want < len(low), 0.0
+        for r in range(MOST_ROUNDS):
+            if r % PER_WALK == 0:
+                tried.walks = []
+            else:
+                tried.walks[-1][2].clear()
+            tried.add(r)
+            i, j = tried.agree(padded, starts)
+            d = doc[i]
+            hit[d[want[d] == tried.item[j]]] = True
+            reached = min(hit[short].mean(), hit[~short].mean())
+            if reached >= recall:
+                break
+        out[n] = (r + 1, float(reached))
+    return out
 
 
 _BUILT: dict = {}
@@ -319,14 +433,18 @@ def built(block: tuple) -> Items:
     if key not in _BUILT:
         _BUILT.clear()
         ids, texts, rounds, similarity = block
-        _BUILT[key] = Items(list(ids), list(texts), rounds, similarity)
+        _BUILT[key] = Items(list(ids), list(texts), dict(rounds), similarity)
     return _BUILT[key]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, least: int, rounds: int | None, similarity: float, recall: float):
+def _blocks(items: DataFrame, id_col: str, text_col: str, rounds: int | None, similarity: float, recall: float):
     """Items in blocks of bounded size, fetched one block's rows at a time."""
-    made = lambda: (tuple(ids), tuple(texts), rounds or rounds_for(texts, similarity, recall)[0], similarity)
-    rows = items.where(F.length(text_col) >= least).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+    def made():
+        need = {n: rounds for n in range(len(SHAPES))} if rounds else {n: r for n, (r, _) in rounds_for(texts, similarity, recall).items()}
+        return tuple(ids), tuple(texts), tuple(need.items()), similarity
+
+    rows = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ids, texts, size = [], [], 0
     for r in rows.toLocalIterator():
         if ids and size + len(r["text"]) > BLOCK_BYTES:
@@ -343,18 +461,18 @@ FOUND = "id long, item_id long, n_edits long, item_chars long, end_char long"
 
 
 def find(
-    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None, least: int = 40,
-    id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.99,
+    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None,
+    id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.98,
 ) -> DataFrame:
     """One row per document and item it contains: id, item_id, n_edits,
     item_chars, end_char (where the passage ends in the document)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     out = None
-    for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity, recall):
+    for block in _blocks(items, item_id_col, item_text_col, rounds, similarity, recall):
 
         def run(batches, block=block):
             block = built(block)
-            for b in chunks(batches, "text", 2 << 20):
+            for b in chunks(batches, "text", 8 << 20):
                 got = list(block.matches(b, "text"))
                 ids = column(b, "id")
                 yield pa.RecordBatch.from_arrays(
@@ -376,15 +494,15 @@ def find(
 
 
 def clean(
-    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None, least: int = 40,
-    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.99,
+    docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None,
+    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.98,
 ) -> DataFrame:
     """The input without the documents that contain an item."""
-    for block in _blocks(items, item_id_col, item_text_col, least, rounds, similarity, recall):
+    for block in _blocks(items, item_id_col, item_text_col, rounds, similarity, recall):
 
         def run(batches, block=block):
             block = built(block)
-            for b in chunks(batches, text_col, 2 << 20):
+            for b in chunks(batches, text_col, 8 << 20):
                 keep = np.ones(b.num_rows, bool)
                 for doc, *_ in block.matches(b, text_col):
                     keep[doc] = False

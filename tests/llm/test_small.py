@@ -323,8 +323,10 @@ def test_decontamination(spark):
     for i in range(20):
         docs[i], docs[100 + i], docs[200 + i] = say(50) + " " + item[i].upper() + " " + say(20), edited(item[i], 0.08), say(80)
         want |= {(i, i), (100 + i, i)}
-    docs |= {500: None, 501: "", 502: "ab " * 5000, 503: "中" * 50 + item[22] + "文" * 50}
-    want.add((503, 22))
+    item |= {23: "  ", 24: "", 25: "Too Short", 26: item[3]}
+    docs |= {500: None, 501: "", 502: "ab " * 5000, 503: "中" * 50 + item[22] + "文" * 50, 504: "ab (TOO\nshort), he said", 505: "not too shortly"}
+    docs[506] = "ab " * 400_000 + item[5]
+    want |= {(503, 22), (504, 20), (504, 25), (3, 26), (103, 26), (506, 5)}
     df = spark.createDataFrame([(i, t, 1) for i, t in docs.items()], "doc_id long, text string, item_id int").repartition(4)
     items = spark.createDataFrame(list(item.items()), "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontaminate.find(df, items).collect()} == want
@@ -355,11 +357,28 @@ def test_decontamination_recall_at_the_threshold(spark):
         least = [decontaminate.least_distance(p, t)[0] + slack for p, t in pairs]
         assert decontaminate._within([(p, t, m) for (p, t), m in zip(pairs, least)]).all() == (slack == 0)
     assert not decontaminate._within([(p, t, m) for (p, t), m in zip(pairs, least)]).any()
+    assert {r.doc_id for r in decontaminate.find(df.union(df), spark.createDataFrame(list(item.items()), "item_id long, text string")).collect()} == {r.doc_id for r in found}
     hit = [(d, d % 100) in {(r.doc_id, r.item_id) for r in found} for d in docs]
     short = [h for h, d in zip(hit, docs) if len(item[d % 100]) < 110]
     assert sum(hit) >= 0.97 * len(hit) and sum(short) >= 0.95 * len(short)
 
 
+@pytest.mark.parametrize("words_in_item", [8, 12, 30, 60])
+@pytest.mark.parametrize("share", [0.1, 0.15, 0.2])
+def test_decontamination_recall_by_length(words_in_item, share):
+    import pyarrow as pa
+
+    rnd = random.Random(words_in_item)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8))) for _ in range(500)]
+    item = [" ".join(rnd.choice(words) for _ in range(words_in_item)) for _ in range(60)]
+    rounds = {n: r for n, (r, _) in decontaminate.rounds_for(item, 0.8).items()}
+    items = decontaminate.Items(list(range(60)), item, rounds, 0.8)
+    texts = [f"some words {decontaminate._edited(t, int(share * len(t) + 1e-9), rnd, False)} and others" for t in item for _ in range(5)]
+    got = {(d, i) for d, i, *_ in items.matches(pa.record_batch([pa.array(texts)], ["text"]), "text")}
+    assert sum((d, d // 5) in got for d in range(300)) >= 0.95 * 300
+    assert all(decontaminate.least_distance(item[i], texts[d])[0] <= 0.2 * len(item[i]) for d, i in got)
+
+
 # ---------------------------------------------------------------------- ANN
 
 
