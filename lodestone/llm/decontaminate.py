@@ -14,12 +14,14 @@ followed by steps that do.  Items come in classes of length, each with its steps
 and samples.  Where ``rounds`` is not given, items of a class, the shortest third
 of them also by themselves, are edited as much as ``similarity`` admits (random
 edits, and a typo in every word), and repetitions are added until the share
-``recall`` of the edited items is found, at most ``MOST_ROUNDS``.
+``recall`` of the edited items is found, and some more (``MARGIN``), as the sample is
+small; at most ``MOST_ROUNDS``.
 
 Each candidate is verified exactly: the item-sized window around it is searched
 for the substring of least edit distance (Myers' bit vectors); the document is
 contaminated if that is at most ``1 - similarity`` of the item's characters.
-Many candidates go through the same recurrence at a time first.
+Before that, the least distances of the item's pieces of up to 64 characters, each
+searched near its place, bound the item's from below, many candidates at a time.
 
 Items of fewer than ``SHORT`` bytes are found where they stand unedited between
 word borders.  A-Z count as lower case and white space as spaces.  Null texts
@@ -43,6 +45,7 @@ from .common import chunks, column, LOWER, mix, prefix_sums, ranges, SPACE, span
 
 SHORT = 24  # bytes; shorter items are compared exactly
 PER_WALK, MOST_ROUNDS = 8, 96
+MARGIN = 140  # percent of the repetitions that reach the recall on the edited sample
 BLOCK = 1 << 15  # windows walked at once
 BLOCK_BYTES = 4 << 20  # of item text sent to the tasks at once
 _FOLD = np.where(SPACE, np.uint8(32), LOWER)
@@ -55,7 +58,10 @@ def _starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     long = end - start > 32
     if not long.any():
         return start
-    return np.union1d(start, ranges(start[long], (end - start)[long]))
+    mark = np.zeros(len(data), bool)
+    mark[start] = True
+    mark[ranges(start[long], (end - start)[long])] = True
+    return np.flatnonzero(mark)
 
 
 class Shape:
@@ -220,6 +226,39 @@ def _within(tests: list) -> np.ndarray:
     return out
 
 
+LANES = 1 << 14
+
+
+def _least(peq: np.ndarray, size: np.ndarray, text: np.ndarray, first: np.ndarray, stop: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Least edit distance of patterns of up to 64 symbols to any substring of
+    text[first:stop], many at a time.  ``peq[base + symbol]``: the pattern's bits."""
+    out = np.empty(len(size), np.int64)
+    order = np.argsort(stop - first, kind="stable")
+    one = np.uint64(1)
+    for k in range(0, len(order), LANES):
+        i = order[k : k + LANES]
+        a, n, row = first[i], (stop - first)[i], base[i]
+        top = one << (size[i] - 1).astype(np.uint64)
+        vp, vn = np.full(len(i), ~np.uint64(0)), np.zeros(len(i), np.uint64)
+        score, best = size[i].astype(np.int32), size[i].astype(np.int32)
+        for j in range(int(n[-1]) if len(n) else 0):
+            c = text.take(a + j, mode="clip").astype(np.int64)
+            c[n <= j] = 255  # matches nothing
+            eq = peq.take(row + c)
+            d0 = (((eq & vp) + vp) ^ vp) | eq | vn
+            hp = vn | ~(d0 | vp)
+            hn = d0 & vp
+            score += (hp & top) != 0
+            score -= (hn & top) != 0
+            hp <<= one
+            hn <<= one
+            vp = hn | ~(d0 | hp)
+            vn = d0 & hp
+            np.minimum(best, score, out=best)
+        out[i] = best
+    return out
+
+
 class Windows:
     """The windows of one class of items, with their repetitions."""
 
@@ -283,6 +322,24 @@ class Items:
                     self.short.setdefault(len(t.strip()), {}).setdefault(t.strip(), []).append(k)
             else:
                 classes.setdefault(next(n for n, s in enumerate(SHAPES) if len(t) >= s.size or n + 1 == len(SHAPES)), []).append(k)
+        # pieces of up to 64 symbols (first bytes of characters), for a bound
+        self.pieces: list[list[tuple]] = []  # per item: (row, offset, size)
+        rows = []
+        for t in raw:
+            x = np.frombuffer(t, np.uint8)
+            x = x[x & 192 != 128]
+            n = -(-len(x) // 64)
+            cut = [len(x) * k // max(n, 1) for k in range(n + 1)]
+            self.pieces.append([(len(rows) + k, cut[k], cut[k + 1] - cut[k]) for k in range(n)])
+            for k in range(n):
+                peq = np.zeros(256, np.uint64)
+                np.bitwise_or.at(peq, x[cut[k] : cut[k + 1]].astype(np.int64), np.uint64(1) << np.arange(cut[k + 1] - cut[k], dtype=np.uint64))
+                peq[255] = 0
+                rows.append(peq)
+        self.peq = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+        self.bytes = np.array([len(t) for t in raw], np.int64)
+        self.most = np.array([int((1 - similarity) * len(t) + 1e-9) for t in self.texts], np.int64)
+        self.plain = np.array([t.isascii() for t in raw], bool)
         self.windows = {n: Windows(SHAPES[n], c, raw, (rounds or {}).get(n, 0)) for n, c in sorted(classes.items())}
 
     def candidates(self, data: np.ndarray, offs: np.ndarray):
@@ -301,6 +358,32 @@ class Items:
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] != begin[:-1])
         return np.stack([doc[new], item[new], begin[new]], 1)
 
+    def plausible(self, got: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Which candidates the least distances of their items' pieces, each
+        near its place, let be within bounds: together they are at most the
+        distance of the item."""
+        if not len(got):
+            return np.zeros(0, bool)
+        lead = data & 192 != 128
+        at = np.concatenate([[0], np.cumsum(lead)])  # characters before a byte
+        wide = np.concatenate([[0], np.cumsum(data >= 128)])
+        doc, item, begin = got.T
+        low, high = offs[doc], offs[doc + 1]
+        most, slack = self.most[item], 4 * self.most[item] + 8
+        a, z = np.maximum(low, begin - slack), np.minimum(high, begin + self.bytes[item] + slack)
+        slack = np.where(self.plain[item] & (wide[z] == wide[a]), most + most // 2 + 8, slack)
+        count = np.array([len(p) for p in self.pieces])[item]
+        row = np.repeat(np.arange(len(got)), count)
+        flat = np.array([x for p in self.pieces for x in p], np.int64).reshape(-1, 3)
+        start = np.cumsum([0, *map(len, self.pieces)])[item]
+        piece, offset, size = flat[ranges(start, count)].T
+        # the item's begin may lie before the document's
+        home = at[np.clip(begin, 0, len(data))] + np.minimum(begin, 0)
+        first = np.maximum(at[low][row], home[row] + offset - slack[row])
+        stop = np.minimum(at[high][row], home[row] + offset + size + slack[row])
+        least = _least(self.peq, size, _FOLD[data][lead], first, np.maximum(stop, first), piece * 256)
+        return np.bincount(row, least, len(got)) <= most
+
     def exact(self, data: np.ndarray, offs: np.ndarray):
         """(document, item, byte where it begins) of short items, between
         letters, digits and bytes of other scripts on neither side."""
@@ -339,6 +422,7 @@ class Items:
         if not self.windows:
             return
         got = self.candidates(data, offs)
+        got = got[self.plausible(got, data, offs)]
         tried: dict = {}
         open_: list = []
         for doc, item, begin in got.tolist():
@@ -385,7 +469,7 @@ def _edited(text: str, most: int, rnd: random.Random, words: bool) -> str:
     return "".join(out)
 
 
-def rounds_for(texts: list[str], similarity: float, recall: float = 0.98, sample: int = 60) -> dict[int, tuple[int, float]]:
+def rounds_for(texts: list[str], similarity: float, recall: float = 0.99, sample: int = 60) -> dict[int, tuple[int, float]]:
     """Per class of items, (least number of repetitions by which edited items
     are found with this recall at the full threshold, that recall): of a sample
     of all items of the class and of one of its shortest third, the lower."""
@@ -420,7 +504,7 @@ def rounds_for(texts: list[str], similarity: float, recall: float = 0.98, sample
             reached = min(hit[short].mean(), hit[~short].mean())
             if reached >= recall:
                 break
-        out[n] = (r + 1, float(reached))
+        out[n] = (min(MOST_ROUNDS, -(-MARGIN * (r + 1) // 100)), float(reached))
     return out
 
 
@@ -462,7 +546,7 @@ FOUND = "id long, item_id long, n_edits long, item_chars long, end_char long"
 
 def find(
     docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None,
-    id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.98,
+    id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.99,
 ) -> DataFrame:
     """One row per document and item it contains: id, item_id, n_edits,
     item_chars, end_char (where the passage ends in the document)."""
@@ -495,7 +579,7 @@ def find(
 
 def clean(
     docs: DataFrame, items: DataFrame, similarity: float = 0.8, rounds: int | None = None,
-    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.98,
+    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.99,
 ) -> DataFrame:
     """The input without the documents that contain an item."""
     for block in _blocks(items, item_id_col, item_text_col, rounds, similarity, recall):
