@@ -26,8 +26,19 @@ CONFIGURATION_NAMES = [
 ]
 CONFIGURATION_PARTS = [".github", "config", "configs"]
 # fixed values: what a tool's directory listing leaves out
-HIDDEN_EXCEPTIONS = [".env.example", ".gitignore", ".github"]
-BINARY_SUFFIXES = [".pyc", ".pyo", ".so", ".dll", ".exe", ".png", ".jpg", ".jpeg", ".gif", ".ico", ".pdf", ".zip", ".tar", ".gz", ".woff", ".woff2"]
+HIDDEN_EXCEPTIONS = [".env", ".gitignore", ".eslintrc", ".prettierrc"]
+HIDDEN_FOLDERS = [
+    ".git", "__pycache__", "node_modules", ".next", ".venv", "venv", "dist", "build", ".cache", ".tox", ".mypy_cache", ".pytest_cache", "env", ".env", ".idea",
+    ".vscode", "target", "coverage", ".ruff_cache", ".nuxt", ".output", ".turbo", "Library", "Applications", "Pictures", "Music", "Movies", "Downloads", "System",
+    "Volumes", ".Trash", ".DocumentRevisions-V100",
+]
+BINARY_SUFFIXES = [
+    ".pyc", ".pyo", ".so", ".dylib", ".dll", ".exe", ".o", ".a", ".class", ".jar", ".png", ".jpg", ".jpeg", ".gif", ".ico", ".svg", ".webp", ".woff", ".woff2",
+    ".ttf", ".eot", ".zip", ".tar", ".gz", ".bz2", ".7z", ".pdf", ".doc", ".docx",
+]
+# fixed values: what a web view must not show
+SENSITIVE_NAMES = [".netrc", ".npmrc", ".pypirc", "credentials.json", "id_dsa", "id_ecdsa", "id_ed25519", "id_rsa"]
+SENSITIVE_FOLDERS = [".aws", ".git", ".ssh"]
 
 
 def any_of(*conditions: Column) -> Column:
@@ -59,10 +70,13 @@ def is_source(path: Column, ignored: list[str] | None = None) -> Column:
 
 
 def is_hidden(path: Column, exceptions: list[str] = HIDDEN_EXCEPTIONS) -> Column:
-    """Ignored by directory tools: dot files but for exceptions, ignored
-    folders, binary suffixes."""
+    """A file that directory tools leave out: dot files but for exceptions,
+    binary suffixes, and whatever is in a folder that they leave out."""
     n = name(path)
-    return (n.startswith(".") & ~n.isin(exceptions)) | n.isin(IGNORED_PARTS) | suffix(path).isin(BINARY_SUFFIXES)
+    folders = F.split(path, "/")
+    folders = F.slice(folders, 1, F.greatest(F.size(folders) - 1, F.lit(0)))
+    below = F.exists(folders, lambda f: f.isin(HIDDEN_FOLDERS) | (f.startswith(".") & ~f.isin(".", "..", *exceptions)))
+    return (n.startswith(".") & ~n.isin(exceptions)) | suffix(path).isin(BINARY_SUFFIXES) | below
 
 
 def is_test(path: Column) -> Column:
@@ -115,4 +129,4 @@ def is_inside(path: Column, root: Column) -> Column:
 def is_sensitive(path: Column) -> Column:
     """Files that a web view must not show."""
     n = F.lower(name(path))
-    return any_of(n.isin(".env", "id_rsa", "id_ed25519", ".netrc", ".npmrc", ".pypirc"), n.startswith(".env."), suffix(path).isin(".pem", ".key", ".p12"))
+    return any_of(n == ".env", n.startswith(".env."), n.isin(SENSITIVE_NAMES), F.arrays_overlap(F.split(F.lower(path), "/"), F.array(*map(F.lit, SENSITIVE_FOLDERS))))

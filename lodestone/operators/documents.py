@@ -27,12 +27,14 @@ def search(files: DataFrame, pattern: str, file_pattern: str = "*", limit: int =
 
 
 def find_files(files: DataFrame, pattern: str, limit: int = 100) -> DataFrame:
-    return files.where(globs.matches(F.col("path"), pattern) | globs.matches(paths.name(F.col("path")), pattern)).select("path").orderBy("path").limit(limit)
+    named = globs.matches(F.col("path"), pattern) | globs.matches(paths.name(F.col("path")), pattern)
+    return files.where(named & ~paths.is_hidden(F.col("path"))).select("path").orderBy("path").limit(limit)
 
 
 def directory(files: DataFrame, folder: str, depth: int = 3) -> DataFrame:
     """(path, is_dir) below a folder, folders first, then by name, case ignored."""
     base = folder.strip("/")
+    files = files.where(~paths.is_hidden(F.col("path")))
     rel = files.where(F.col("path").startswith(base + "/")).select(F.substring("path", len(base) + 2, 1 << 30).alias("p")) if base else files.select(F.col("path").alias("p"))
     parts = rel.select(F.split("p", "/").alias("s"))
     rows = parts.select(F.explode(F.sequence(F.lit(1), F.least(F.size("s"), F.lit(depth)))).alias("d"), "s").select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from ..functions import paths, text
 from ..functions.globs import glob_regex_column
 
@@ -91,15 +92,17 @@ def neighbours(edges: DataFrame, path: str) -> DataFrame:
 def impacted_tests(files: DataFrame, changed: DataFrame, edges: DataFrame | None = None, depth: int = 4) -> DataFrame:
     """Tests that changed(path) files reach over up to ``depth`` imports.
     Tests are reached but not expanded; changed tests count themselves."""
-    edges = import_edges(files) if edges is None else edges
+    edges = cut((import_edges(files) if edges is None else edges).select("importer", "target"))
     kind = files.select("path", "is_test")
     start = changed.select(paths.strip_dots(F.col("path")).alias("path")).distinct()
     seen = start.select("path", F.lit(0).alias("level"), F.lit(True).alias("grows"))
+    front = start.select(F.col("path").alias("target"))
     for k in range(depth):
-        front = seen.where((F.col("level") == k) & F.col("grows")).select(F.col("path").alias("target"))
         reached = edges.join(front, "target").select(F.col("importer").alias("path")).distinct()
         reached = reached.join(seen.select("path"), "path", "left_anti").join(kind, "path")
-        seen = seen.unionByName(reached.select("path", F.lit(k + 1).alias("level"), (~F.col("is_test")).alias("grows")))
+        reached = cut(reached.select("path", F.lit(k + 1).alias("level"), (~F.col("is_test")).alias("grows")))
+        seen = seen.unionByName(reached)
+        front = reached.where("grows").select(F.col("path").alias("target"))
     own = start.join(kind.where("is_test"), "path", "left_semi")
     return seen.where("level > 0 and not grows").select("path").unionByName(own).distinct()
 

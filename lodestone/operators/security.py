@@ -20,10 +20,14 @@ PATTERNS = [
     ("medium", "unsafe-cors", r"(?i)(?:allow_origins|access-control-allow-origin).{0,20}(?:\*|all)"),
     ("medium", "weak-hash", r"\b(?:hashlib\.)?(?:md5|sha1)\s*\("),
 ]
-PLACEHOLDERS = ["example", "placeholder", "changeme", "dummy", "your-", "your_", "xxxx"]
+PLACEHOLDERS = ["changeme", "change-me", "dummy", "example", "fake", "placeholder", "sample", "test", "your-", "your_", "xxxx"]
 SKIPPED_PARTS = [".git", "node_modules", ".venv", "venv", "dist", "build", "verification_evidence"]
 TEST_PARTS = ["tests", "test", "benchmarks", "fixtures"]
-SCANNED = [".py", ".js", ".jsx", ".ts", ".tsx", ".go", ".rs", ".java", ".rb", ".php", ".sql", ".yaml", ".yml", ".toml", ".json", ".env"]
+SCANNED = [
+    ".c", ".cc", ".cpp", ".cs", ".env", ".go", ".h", ".hpp", ".ini", ".java", ".js", ".json", ".jsx", ".kt", ".php", ".ps1", ".py", ".rb", ".rs", ".sh",
+    ".sql", ".toml", ".ts", ".tsx", ".yaml", ".yml",
+]
+SCANNED_NAMES = ["Dockerfile", "Gemfile", "Makefile"]
 MOST_BYTES = 2_000_000
 # fixed values: statements that lose data
 DESTRUCTIVE = [
@@ -40,7 +44,7 @@ def scannable(files: DataFrame, explicit: bool = False) -> DataFrame:
     parts = F.split("path", "/")
     bad = F.arrays_overlap(parts, F.array(*[F.lit(p) for p in SKIPPED_PARTS]))
     tests = F.arrays_overlap(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(*[F.lit(p) for p in TEST_PARTS]))
-    keep = ~bad & (paths.suffix(F.col("path")).isin(SCANNED) | (paths.name(F.col("path")) == ".env")) & (F.octet_length("text") <= MOST_BYTES)
+    keep = ~bad & (paths.suffix(F.col("path")).isin(SCANNED) | paths.name(F.col("path")).isin(".env", *SCANNED_NAMES)) & (F.octet_length("text") <= MOST_BYTES)
     return files.where(keep if explicit else keep & ~tests)
 
 
@@ -110,9 +114,9 @@ def naive_secret_lines(files: DataFrame) -> DataFrame:
 
 
 # fixed values: addresses that a fetch must not reach
-BLOCKED_SCHEMES = ["file", "ftp", "gopher", "data", "javascript"]
-METADATA_HOSTS = ["metadata.google.internal", "metadata.internal", "instance-data"]
-METADATA_IPS = ["169.254.169.254", "100.100.100.200", "fd00:ec2::254"]
+METADATA_HOSTS = ["metadata.google.internal", "metadata.goog", "metadata.azure.com", "metadata.oraclecloud.com"]
+METADATA_IPS = ["169.254.169.254", "100.100.100.200", "192.0.0.192"]
+DANGEROUS_TYPES = ["application/x-executable", "application/x-sharedlib", "application/x-mach-binary", "application/x-dosexec"]
 PRIVATE = r"^(10\.|192\.168\.|172\.(1[6-9]|2\d|3[01])\.|0\.|192\.0\.0\.|192\.0\.2\.|198\.1[89]\.|198\.51\.100\.|203\.0\.113\.|2[4-5]\d\.)"
 
 
@@ -138,14 +142,13 @@ def url_verdict(url: Column, allowed_hosts: list[str] | None = None, allow_local
 
 
 def redirect_verdict(original: Column, target: Column, **rules) -> Column:
-    """Like ``url_verdict`` for a redirect; https must not fall back to http."""
-    down = original.rlike("(?i)^https:") & target.rlike("(?i)^http:")
-    return F.when(down, "downgrade").otherwise(url_verdict(target, **rules))
+    """``url_verdict`` of a redirect's target, as redirect_<verdict>."""
+    return F.concat(F.lit("redirect_"), url_verdict(target, **rules))
 
 
 def content_type_allowed(kind: Column) -> Column:
     base = F.lower(text.strip(F.regexp_extract(kind, r"^([^;]*)", 1)))
-    return base.startswith("text/") | base.isin("application/json", "application/xml", "application/xhtml+xml", "application/javascript") | (base == "")
+    return ~base.isin(DANGEROUS_TYPES)
 
 
 def allowed_origin(origin: Column, port: int) -> Column:

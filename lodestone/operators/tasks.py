@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 DONE = ["COMPLETED", "SKIPPED"]
 STUCK = ["FAILED", "BLOCKED"]
 
@@ -31,11 +33,11 @@ def next_step(steps: DataFrame) -> DataFrame:
     return ready(steps).groupBy("plan_id").agg(F.min("id").alias("id"))
 
 
-def block_orphans(steps: DataFrame, transitive: bool = False, most: int = 50) -> DataFrame:
+def block_orphans(steps: DataFrame, transitive: bool = False) -> DataFrame:
     """Pending steps behind failed or blocked ones become BLOCKED: one pass over
     the statuses as they are, or until nothing changes."""
     out = steps
-    for _ in range(most if transitive else 1):
+    while True:
         bad = _edges(out).join(_status(out).where(F.col("dep_status").isin(STUCK)), ["plan_id", "dep"]).groupBy("plan_id", "id").agg(
             F.sort_array(F.collect_set("dep")).alias("__bad")
         )
@@ -44,9 +46,9 @@ def block_orphans(steps: DataFrame, transitive: bool = False, most: int = 50) ->
         if transitive and not got.where(hit).take(1):
             return out
         out = got.withColumn("status", F.when(hit, "BLOCKED").otherwise(F.col("status"))).drop("__bad").select(steps.columns)
-        if transitive:
-            out = out.checkpoint() if steps.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else out
-    return out
+        if not transitive:
+            return out
+        out = cut(out)
 
 
 def progress(steps: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def recent_plans(plans: DataFrame, steps: DataFrame, limit: int = 10) -> DataFra
     return top.join(progress(steps).select("plan_id", "steps", "completed"), "plan_id", "left").na.fill(0, ["steps", "completed"])
 
 
-def problems(steps: DataFrame, depth: int = 50) -> DataFrame:
+def problems(steps: DataFrame) -> DataFrame:
     """(plan_id, id, problem): duplicate ids, unknown dependencies, steps that
     depend on themselves, steps on or behind a dependency cycle."""
     twice = steps.groupBy("plan_id", "id").count().where("count > 1").select("plan_id", "id", F.lit("duplicate").alias("problem"))
@@ -73,16 +75,15 @@ def problems(steps: DataFrame, depth: int = 50) -> DataFrame:
     unknown = e.join(known, ["plan_id", "dep"], "left_anti").select("plan_id", "id", F.lit("unknown_dependency").alias("problem")).distinct()
     itself = e.where("id = dep").select("plan_id", "id", F.lit("self_dependency").alias("problem"))
     # steps that stay when those without open dependencies are taken away
-    left = steps.select("plan_id", "id").distinct()
-    edges = e.join(known, ["plan_id", "dep"], "left_semi")
-    for _ in range(depth):
-        open_ = edges.join(left.withColumnRenamed("id", "dep"), ["plan_id", "dep"], "left_semi").join(left, ["plan_id", "id"], "left_semi")
-        now = open_.select("plan_id", "id").distinct()
-        n, m = left.count(), now.count()
-        left = now
+    edges = cut(e.join(known, ["plan_id", "dep"], "left_semi"))
+    n = edges.count()
+    while True:  # a round takes one step off every chain, and its open edges are all that the next reads
+        edges = cut(edges.join(edges.select("plan_id", F.col("id").alias("dep")).distinct(), ["plan_id", "dep"], "left_semi"))
+        m = edges.count()
         if m in (0, n):
             break
-    cycle = left.select("plan_id", "id", F.lit("cycle").alias("problem"))
+        n = m
+    cycle = edges.select("plan_id", "id").distinct().select("plan_id", "id", F.lit("cycle").alias("problem"))
     return twice.unionByName(unknown).unionByName(itself).unionByName(cycle)
 
 

@@ -122,14 +122,14 @@ def callers(spark, d):
 def _graph(spark, d):
     n = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     li = t.table(spark, d, "lineitem")
-    edges = li.where("l_linenumber = 1").select(n("s", "l_suppkey").alias("importer"), n("p", "l_partkey").alias("target"))
-    edges = edges.unionByName(li.where("l_linenumber = 2").select(n("p", "l_partkey").alias("importer"), n("s", "l_suppkey").alias("target"))).distinct()
+    edges = li.where("l_linenumber % 2 = 1").select(n("s", "l_suppkey").alias("importer"), n("p", "l_partkey").alias("target"))
+    edges = edges.unionByName(li.where("l_linenumber % 2 = 0").select(n("p", "l_partkey").alias("importer"), n("s", "l_suppkey").alias("target"))).distinct()
     files = t.table(spark, d, "supplier").select(n("s", "s_suppkey").alias("path"), (F.col("s_suppkey") % 4 == 0).alias("is_test"))
     return files.unionByName(t.table(spark, d, "part").select(n("p", "p_partkey").alias("path"), (F.col("p_partkey") % 3 == 0).alias("is_test"))), edges
 
 
-_GRAPH = """WITH e AS (SELECT DISTINCT 's' || l_suppkey AS importer, 'p' || l_partkey AS target FROM lineitem WHERE l_linenumber = 1
- UNION SELECT DISTINCT 'p' || l_partkey, 's' || l_suppkey FROM lineitem WHERE l_linenumber = 2),
+_GRAPH = """WITH e AS (SELECT DISTINCT 's' || l_suppkey AS importer, 'p' || l_partkey AS target FROM lineitem WHERE l_linenumber % 2 = 1
+ UNION SELECT DISTINCT 'p' || l_partkey, 's' || l_suppkey FROM lineitem WHERE l_linenumber % 2 = 0),
 f AS (SELECT 's' || s_suppkey AS path, s_suppkey % 4 = 0 AS is_test FROM supplier UNION ALL SELECT 'p' || p_partkey, p_partkey % 3 = 0 FROM part),
 v0 AS (SELECT * FROM f WHERE path IN ('p1', 'p3', 's8')), x0 AS (SELECT path, false AS is_test FROM v0)"""
 for _k in range(1, 5):

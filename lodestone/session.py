@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,6 +25,19 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return b.config(map=SETTINGS | conf).getOrCreate()
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The table, computed once and kept in the shared folder that the session
+    names in spark.checkpoint.dir, so that loops neither repeat work nor grow
+    their plans.  Only in local mode may the folder be a temporary one."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodestone-"))
+    return df.checkpoint()
+
+
 def broadcastable(df, limit_bytes: int = 32 << 20) -> bool:
     """Whether Catalyst's size estimate of a table is under a bound.  Rule
     tables that were built on the driver always are."""

@@ -128,6 +128,31 @@ def test_tasks(spark):
     loop = spark.createDataFrame([(1, 1, [2]), (1, 2, [1]), (1, 3, [9])], "plan_id int, id int, depends_on array<int>")
     assert {(r.id, r.problem) for r in tasks.problems(loop).collect()} == {(1, "cycle"), (2, "cycle"), (3, "unknown_dependency")}
     assert tasks.context(steps).first()["next"] == "d"
+    # long chains: no limit of rounds
+    chain = spark.createDataFrame([(1, i, [i - 1] if i else [], "PENDING" if i else "FAILED") for i in range(60)], "plan_id int, id int, depends_on array<int>, status string").coalesce(1)
+    assert tasks.problems(chain).count() == 0
+    short = chain.where("id < 9")
+    assert {r.status for r in tasks.block_orphans(short, transitive=True).where("id > 0").collect()} == {"BLOCKED"}
+
+
+def test_tables_that_must_match(spark):
+    hidden = [".env", ".gitignore", ".eslintrc", ".prettierrc", "a.py", ".hidden", "x.svg", "node_modules/a.js", "a/.venv/b.py", "a/target/b.rs", "env/a.py", "x.DOCX", ".github/a.yml"]
+    got = spark.createDataFrame([(p,) for p in hidden], "path string").where(paths.is_hidden(F.col("path"))).collect()
+    assert [r.path for r in got] == hidden[5:]
+    shown = ["a.pem", "a/b.py", "credentials", "x.env"]
+    secret = ["credentials.json", "a/ID_DSA", "id_ecdsa", "id_rsa", ".env", ".env.local", "x/.aws/config", ".git/config", "home/.ssh/known", ".npmrc"]
+    got = spark.createDataFrame([(p,) for p in shown + secret], "path string").where(paths.is_sensitive(F.col("path"))).collect()
+    assert [r.path for r in got] == secret
+    f = spark.createDataFrame([(p, 'password = "abcdefgh1"') for p in ["a.c", "a.kt", "a.sh", "a.ini", "Makefile", "x/Dockerfile", "a.md", "a.txt"]], "path string, text string")
+    assert sorted(r.path for r in security.scan(security.scannable(f)).collect()) == ["Makefile", "a.c", "a.ini", "a.kt", "a.sh", "x/Dockerfile"]
+    f = spark.createDataFrame([("a.py", f'password = "{v}-value-1"') for v in ["change-me", "fake", "sample", "test", "real"]], "path string, text string")
+    assert security.scan(f).count() == 1
+    verdict = lambda u: one(spark, u, security.url_verdict)
+    assert {verdict(f"http://{h}/") for h in ("metadata.goog", "metadata.azure.com", "metadata.oraclecloud.com", "metadata.google.internal", "192.0.0.192", "100.100.100.200")} == {"metadata"}
+    assert one(spark, "http://10.0.0.1/", lambda u: security.redirect_verdict(F.lit("https://a.com"), u)) == "redirect_private_range"
+    assert one(spark, "http://a.com/", lambda u: security.redirect_verdict(F.lit("https://a.com"), u)) is None
+    allowed = [one(spark, x, security.content_type_allowed) for x in ("image/png", "text/html; charset=x", "Application/X-Dosexec; a", "application/x-sharedlib", "application/x-executable")]
+    assert allowed == [True, True, False, False, False]
 
 
 def test_conversations(spark):
