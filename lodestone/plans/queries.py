@@ -94,13 +94,13 @@ def glob_filter(spark, d):
 
 @query(
     "b1_symbols",
-    "WITH p AS (SELECT p_name AS name, p_brand AS path, p_partkey::INT AS line FROM part), r AS (SELECT *, CASE WHEN lower(name) = 'part 1' THEN 0 WHEN starts_with(lower(name), 'part 1') THEN 1 WHEN contains(lower(name), 'part 1') THEN 2 END AS rank FROM p) "
+    "WITH p AS (SELECT p_name AS name, p_brand AS path, p_partkey::INT AS line FROM part), r AS (SELECT *, CASE WHEN lower(name) = 'ring' THEN 0 WHEN starts_with(lower(name), 'ring') THEN 1 WHEN contains(lower(name), 'ring') THEN 2 END AS rank FROM p) "
     "SELECT name, path, line, rank::INT AS rank FROM r WHERE rank IS NOT NULL ORDER BY rank, path, line LIMIT 50",
 )
 def symbols(spark, d):
     s = F.struct(F.col("p_name").alias("name"), F.lit("class").alias("kind"), F.col("p_brand").alias("path"), F.col("p_partkey").cast("int").alias("line"), F.col("p_name").alias("qualified_name"))
     files = t.table(spark, d, "part").select(F.col("p_brand").alias("path"), F.array(s).alias("symbols"))
-    return graph.find_symbols(files, "part 1").select("name", "path", "line", "rank")
+    return graph.find_symbols(files, "ring").select("name", "path", "line", "rank")
 
 
 @query("b2_routes", "SELECT p_brand AS path, 'GET /' || p_type AS route, 'x' AS language FROM part WHERE contains(lower('GET /' || p_type), 'a')")
