@@ -26,6 +26,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestone-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -42,14 +44,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BROADCAST_ROWS = 200_000  # keys of up to 24 bytes; larger tables are shuffled
+SIEVE_WORDS = 1 << 20  # bound of a sieve: 8 MB
 
 
-def few(keys: DataFrame) -> DataFrame:
-    """A table of keys, to be broadcast if its checked size allows it."""
+def sieved(df: DataFrame, keys: DataFrame, on: str, n: int) -> DataFrame:
+    """``df`` without most of the rows whose ``on`` is none of ``keys`` (about
+    ``n`` of them), by one bit for each key's hash: less to shuffle for the join
+    with the keys that must follow.  The bits are of bounded size, however many
+    keys there are; with more keys more rows stay."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    words = 1 << min(SIEVE_WORDS.bit_length() - 1, max(4, (max(n, 1) // 4).bit_length()))
+    place = F.pmod(F.xxhash64(F.lit(3), F.col(on)), F.lit(64 * words))
+    ones = keys.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"))
+    every = ones.unionByName(keys.sparkSession.range(words).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("b")))
+    bits = every.groupBy("w").agg(F.bit_or("b").alias("b")).agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bits"))
+    word = F.get(bits.scalar(), F.floor(place / 64).cast("int"))
+    return df.where(F.getbit(word, (place % 64).cast("int")) == 1)
 
 
 def width(spark: SparkSession) -> int:

@@ -1,8 +1,9 @@
 """Connected components of an edge table.
 
-A table of at most ``ONE_TASK`` edges is done by union-find in one task; a larger
-one by alternating large and small stars, with the same result.  Each round is a handful of joins and aggregations; its edges are written to the
-shared scratch space, so lineage stays short and lost executors cost one round.
+Tasks first contract their own edges to stars.  Then large and small stars
+alternate: each round is a handful of joins and aggregations, its edges are
+written to the shared scratch space, so lineage stays short and lost executors
+cost one round.
 Nothing is collected but a row count and a checksum.
 """
 
@@ -14,17 +15,19 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-ONE_TASK = 300_000  # edges, checked by a count
+SLICE = 100_000  # edges that a task contracts at once
 
 
-def _in_one_task(e: DataFrame) -> DataFrame:
-    """(node, label) by union-find over a bounded number of edges."""
+def _contracted(e: DataFrame) -> DataFrame:
+    """Edges that connect the same nodes, fewer of them: every task replaces
+    each slice of its edges by stars, which union-find makes of it."""
     node = e.schema["u"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
         top: dict = {}
+        seen = 0
 
         def find(x):
             while (p := top.setdefault(x, x)) != x:
@@ -32,6 +35,10 @@ def _in_one_task(e: DataFrame) -> DataFrame:
                 x = top[x]
             return x
 
+        def stars(kind):
+            pairs = [(x, r) for x in top if (r := find(x)) != x]
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], ["u", "v"])
+
         kind = None
         for b in batches:
             kind = b.schema.field("u").type
@@ -39,10 +46,15 @@ def _in_one_task(e: DataFrame) -> DataFrame:
                 x, y = find(u), find(v)
                 if x != y:
                     top[max(x, y)] = min(x, y)
+            seen += b.num_rows
+            if seen >= SLICE:
+                yield stars(kind)
+                top.clear()
+                seen = 0
         if top:
-            yield pa.RecordBatch.from_arrays([pa.array(list(top), kind), pa.array([find(x) for x in top], kind)], ["node", "label"])
+            yield stars(kind)
 
-    return e.coalesce(1).mapInArrow(run, f"node {node}, label {node}")
+    return e.mapInArrow(run, f"u {node}, v {node}")
 
 
 def _sum(df: DataFrame):
@@ -50,17 +62,13 @@ def _sum(df: DataFrame):
     return r["n"], r["s"]
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE_TASK) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of every node that has an edge to another; the label is
     the smallest node of its component.  Null ends, loops and repeated edges
     are ignored.  Any orderable node type."""
-    e = written(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v"))).distinct(),
-        "edges",
-    )
+    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v")))
+    e = written(_contracted(e).distinct(), "edges")
     mark = _sum(e)
-    if mark[0] <= one_task:
-        return _in_one_task(e)
     while mark[0]:
         # large star: every larger neighbour of u goes to u's smallest
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

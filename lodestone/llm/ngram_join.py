@@ -14,8 +14,9 @@ by block, and entries below the bounds that both sizes set are discarded:
   with sketches of one length for all, then, for rows left, with longer ones.
 * The pairs' fronts of the common order, the n-grams up to the smaller end
   known in full, bound the overlap once more.
-* What is left is multiplied exactly: the rows of one class against those of
-  its partners, overlap counts compared with the least overlap of both sizes.
+* What is left is multiplied exactly: the row of a class with blocks of the rows
+  of its partners, overlap counts accumulated over shared columns and compared
+  with the least overlap of both sizes.
 
 None of the bounds discards a pair that links.  Products come in rounds.  The
 first has a forest of each block: pairs that connect all rows that the bounds
@@ -25,8 +26,9 @@ while links inside one need not all be made.
 
 Words: A-Z lower-cased, runs of bytes other than 0x20 and 0x09-0x0D.  Texts of
 fewer words than n are one n-gram; null and empty texts have none and link with
-nothing.  Ids are integers; rows without id link with nothing.  Repeated rows
-link with each other.  Further columns are ignored.
+nothing.  Ids are integers; rows without id link with nothing.  Rows that share
+an id are one document, whatever their texts: links of any of them are its own.
+Further columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, COEF, column, few, LOWER, mix, ranges, task, text_buffers, width, word_hashes, word_spans, written
+from .common import chunks, COEF, column, LOWER, mix, ranges, sieved, task, text_buffers, width, word_hashes, word_spans, written
 from .components import components
 from .positions import SCHEMA, deal, gather, join_parts, judge, split_parts
 
@@ -92,15 +94,15 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             cut = np.concatenate([[0], np.cumsum(need)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    column(b, "id"), pa.array(n, pa.int64()),
+                    column(b, "id"), column(b, "row"), pa.array(n, pa.int64()),
                     pa.array([r.tobytes() for r in s], pa.binary()), pa.array([sketch[i // 8 : j // 8].tobytes() for i, j in zip(edge[:-1], edge[1:])], pa.binary()),
                     pa.array([r.tobytes() for r in short], pa.binary()),
                     pa.array([front[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
                 ],
-                ["id", "n", "c", "sketch", "short", "front"],
+                ["id", "row", "n", "c", "sketch", "short", "front"],
             )
 
-    return docs.mapInArrow(task(run), "id long, n long, c binary, sketch binary, short binary, front binary")
+    return docs.mapInArrow(task(run), "id long, row binary, n long, c binary, sketch binary, short binary, front binary")
 
 
 def _entries(info: DataFrame) -> DataFrame:
@@ -185,7 +187,11 @@ def _blocks_of(info: DataFrame, percent: int) -> DataFrame:
     buckets = width(info.sparkSession)
     e = _entries(info).repartition(buckets, "g").mapInArrow(task(_columns(percent)), "key long, c binary, g long, place long")
     rows = written(e.groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("cols")), "ngram-rows")
-    classes = lambda sketch, some: info.join(few(some.select("c").distinct()), "c", "left_semi").groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
+
+    def classes(sketch: str, some: DataFrame) -> DataFrame:
+        keys = some.select("c").distinct()
+        return sieved(info.select("c", "n", sketch), keys, "c", some.count()).groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
+
     with_short = rows.join(classes("short", rows), "c").select("key", "c", "n", "sketch", "cols")
     left = written(with_short.repartition(buckets, "key").mapInArrow(task(_survivors(percent)), "key long, c binary"), "ngram-left")
     rows = rows.join(left, ["key", "c"], "left_semi")
@@ -436,22 +442,36 @@ def _bounded(pairs: DataFrame, fronts: DataFrame, percent: int) -> DataFrame:
 
 
 def _product(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by exact overlap counts."""
-
-    def links(x, y):
-        if not len(x) or not len(y):
-            return False
-        both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-        return 100 * both >= percent * (len(x) + len(y) - both)
+    """The pairs (a, b) that link: per block, the overlap counts of the class
+    with each partner are accumulated over the class's columns, as a product of
+    its row with the block of partners."""
 
     def run(batches):
-        def items():
-            for b in chunks(batches, "text", 1 << 20):
-                g, first = shingle_sets(*text_buffers(column(b, "text")), k)
-                for i, (a, s, c) in enumerate(zip(*(column(b, x).to_pylist() for x in ("a", "s", "c")))):
-                    yield a, s, c, g[first[i] : first[i + 1]]
-
-        yield _pairs_out(list(_per_block(items(), links)))
+        head, own = None, None
+        for b in chunks(batches, "text", 1 << 20):
+            g, first = shingle_sets(*text_buffers(column(b, "text")), k)
+            keys = list(zip(*(column(b, x).to_pylist() for x in ("a", "s", "c"))))
+            size = np.diff(first)
+            out, i = [], 0
+            while i < len(keys):
+                block = keys[i][:2]
+                j = i + 1
+                while j < len(keys) and keys[j][:2] == block:
+                    j += 1
+                if head != block:  # the class comes first
+                    if keys[i][2] != block[0]:
+                        raise RuntimeError("a block came without its class")
+                    head, own = block, g[first[i] : first[i + 1]].copy()
+                    i += 1
+                if j > i and len(own):
+                    flat = g[first[i] : first[j]]
+                    owner = np.repeat(np.arange(j - i), size[i:j])
+                    shared = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                    both = np.bincount(owner[shared], minlength=j - i)
+                    linked = (size[i:j] > 0) & (100 * both >= percent * (len(own) + size[i:j] - both))
+                    out += [(head[0], keys[i + x][2]) for x in np.flatnonzero(linked).tolist()]
+                i = j
+            yield _pairs_out(out)
 
     return _met(pairs, texts).select("a", "s", "c", "text").mapInArrow(task(run), "a binary, b binary")
 
@@ -462,9 +482,9 @@ def _short_fronts(rows: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             f = [(np.frombuffer(x, "<u8") >> np.uint64(32)).astype("<u4").tobytes() for x in column(b, "front").to_pylist()]
-            yield pa.RecordBatch.from_arrays([column(b, "c"), column(b, "id"), column(b, "n"), pa.array(f, pa.binary())], ["c", "id", "n", "front"])
+            yield pa.RecordBatch.from_arrays([column(b, "c"), column(b, "row"), column(b, "n"), pa.array(f, pa.binary())], ["c", "row", "n", "front"])
 
-    return rows.select("c", "id", "n", "front").mapInArrow(task(run), "c binary, id long, n long, front binary")
+    return rows.select("c", "row", "n", "front").mapInArrow(task(run), "c binary, row binary, n long, front binary")
 
 
 def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -473,6 +493,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     spark = docs.sparkSession
     n = width(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = docs.withColumn("row", F.unhex(F.md5("text")))  # names a text, whatever its id
     info = written(_describe(docs, k, percent), "ngram-info")
     linked = info.where(F.col("id").isNotNull() & (F.col("n") > 0))
     pair = "a binary, b binary"
@@ -480,10 +501,15 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     forest = written(blocks.repartition(n, "key").mapInArrow(task(_spanning(percent)), pair).distinct(), "ngram-forest")
     # whoever may link with anyone is in a forest: all others have no part in what follows
     members = forest.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    one = linked.join(few(members), "c").groupBy("c").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("front").alias("front"))
+    members = written(members, "ngram-members")
+    m = members.count()
+    some = sieved(linked.select("c", "row", "n", "front"), members, "c", m)
+    one = some.groupBy("c").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("front").alias("front")).join(members, "c", "left_semi")
     one = written(_short_fronts(one), "ngram-fronts")
     blocks = written(blocks.join(one.select("c"), "c", "left_semi"), "ngram-blocks")
-    texts = written(docs.join(few(one.select("c", "id")), "id").select("c", "text").dropDuplicates(["c"]), "ngram-texts")
+    # a class's text is that of its least row, found by id and content
+    texts = sieved(docs, one, "row", m).groupBy("row").agg(F.first("text").alias("text")).join(one.select("c", "row"), "row")
+    texts = written(texts.select("c", "text"), "ngram-texts")
 
     def product(pairs: DataFrame) -> DataFrame:
         return written(_product(pairs, texts, k, percent), "ngram-links")
@@ -507,6 +533,12 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     named = info.select("id", "n", "c").join(labels, info["c"] == labels["node"], "left").select(
         "id", "n", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("label")
     )
+    # rows that share an id are one document: they tie their components together
+    own = named.where(F.col("id").isNotNull() & F.col("label").isNotNull()).select("id", "label").distinct()
+    tied = own.groupBy("id").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a < z")
+    ties = own.join(tied.select("id", "a"), "id").where("label > a").select(F.col("label").alias("a"), F.col("a").alias("b"))
+    again = components(ties).select(F.col("node").alias("own"), F.col("label").alias("top")).withColumnRenamed("own", "label")
+    named = named.join(again, "label", "left").select("id", "n", F.coalesce("top", "label").alias("label"))
     low = named.where(F.col("id").isNotNull() & F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("low"))
     return named.join(low, "label", "left").select(
         F.col("id").alias(id_col),
@@ -517,8 +549,9 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input without documents that link, directly or not, with one of a
-    smaller id.  Rows without id stay; of repeated rows one stays."""
+    smaller id.  Rows without id stay; of rows of equal id and text one stays,
+    and rows of different texts under one id stay or go together."""
     groups = link(docs, k, percent, id_col, text_col)
-    stay = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    with_id = docs.where(F.col(id_col).isNotNull()).join(stay, id_col, "left_semi")
-    return with_id.select(docs.columns).dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    go = groups.where(F.col(id_col) > F.col("component_id")).select(id_col).distinct()
+    stay = docs.where(F.col(id_col).isNotNull()).join(go, id_col, "left_anti")
+    return stay.select(docs.columns).dropDuplicates([id_col, text_col]).unionByName(docs.where(F.col(id_col).isNull()))

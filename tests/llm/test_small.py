@@ -150,11 +150,31 @@ def test_ngram_join(spark, texts):
 
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7), (None, 1), (3, 2), (9, 8), (8, 1)], "a long, b long")
-    for bound in (0, 1000):  # stars, and one task
-        assert {r.node: r.label for r in components.components(e, one_task=bound).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 1, 9: 1}
-    path = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.label for r in components.components(path, one_task=0).collect()} == {0}
-    assert components.components(e.limit(0)).count() == components.components(e.limit(0), one_task=-1).count() == 0
+    assert {r.node: r.label for r in components.components(e).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 1, 9: 1}
+    path = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(7)
+    assert {r.label for r in components.components(path).collect()} == {0}
+    assert components.components(e.limit(0)).count() == 0
+
+
+def test_ngram_join_shared_ids(spark):
+    rnd = random.Random(6)
+    a, b = (" ".join(f"v{rnd.randrange(5000)}" for _ in range(120)) for _ in range(2))
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (4, "x y z and more of it"), (4, "quite another text it is"), (5, None), (5, a[:40]), (6, a), (4, "x y z and more of it")]
+    df = spark.createDataFrame(rows, EMPTY).repartition(3)
+    got = {(r.doc_id, r.component_id) for r in ngram_join.link(df, 4, 85).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 1)}
+    kept = ngram_join.keep_one(df, 4, 85).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted({(i, t or "") for i, t in rows if i in (1, 4, 5)})
+
+
+def test_sieve(spark):
+    from lodestone.llm.common import sieved
+
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    keys = df.where("cast(k as int) % 50 = 0")
+    left = {r.k for r in sieved(df, keys, "k", 100).collect()}
+    assert left >= {r.k for r in keys.collect()} and len(left) < 2500
+    assert sieved(df, keys.limit(0), "k", 0).count() == 0
 
 
 # -------------------------------------------------------------------- tokens
