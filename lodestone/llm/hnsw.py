@@ -15,7 +15,8 @@ of a layer begins at the nearest of these and of what the layer above found.
 
 Queries travel in blocks to every shard, are searched together (each step
 expands the best unexpanded candidate of every query at once), and the shards'
-results are merged by exact distance, ties to the smaller id.
+results are merged by exact distance, ties to the smaller id.  Graphs are built
+and searched in double precision on centred, scaled vectors.
 
 Vectors that are null, zero, of another length than most rows of their shard's
 index, or hold null or non-finite components take no part.  Rows without id
@@ -80,6 +81,13 @@ def _entries(x: np.ndarray, near: np.ndarray, links: np.ndarray) -> np.ndarray:
         entries.append(new[0])
 
 
+def framed(vecs: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Vectors in the frame of ``like``, its largest component 1 and its mean 0:
+    squares neither overflow nor cancel, and the order of distances is kept."""
+    size = float(np.abs(like).max(initial=0)) or 1.0
+    return vecs / size - (like / size).mean(axis=0)
+
+
 class Graph:
     """Flat arrays of one shard's graph.  ``layers``: (nodes, neighbours, entry
     points) from the bottom up; the latter two index the matrix, -1 fills a row."""
@@ -235,7 +243,7 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
         ids, vecs = ids[order], vecs[order]
         raw = np.ascontiguousarray(vecs + 0.0).view(f"V{8 * dim}").ravel()
         _, first, owner = np.unique(raw, return_index=True, return_inverse=True)
-        graph = Graph.build(vecs[first].astype(np.float32))
+        graph = Graph.build(framed(vecs[first], vecs[first]))
         return pa.table(
             {
                 "shard": pa.array([key[0].as_py()], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "owner": [owner.astype("<i4").tobytes()],
@@ -276,7 +284,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, ef: int = 128, id_
                     owner = np.frombuffer(column(r, "owner")[0].as_py(), "<i4")
                     by = np.argsort(owner, kind="stable")  # ids ascending within a node
                     first = np.searchsorted(owner[by], np.arange(len(vecs) + 1))
-                    graph = Graph(vecs.astype(np.float32), pickle.loads(column(r, "layers")[0].as_py()))
+                    graph = Graph(framed(vecs, vecs), pickle.loads(column(r, "layers")[0].as_py()))
                     kept = (name, (dim, vecs, ids[by], first, graph))
                 dim, vecs, ids, first, graph = kept[1]
                 q = column(r, "q").flatten()
@@ -286,7 +294,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, ef: int = 128, id_
                     continue
                 qid = q.field("id").to_numpy()[use]
                 qv = q.field("vec").take(pa.array(use)).flatten().to_numpy().reshape(-1, dim)
-                nodes, _ = graph.search(qv.astype(np.float32), k + 1, ef)
+                nodes, _ = graph.search(framed(qv, vecs), k + 1, ef)
                 out_q, out_v, out_d = [], [], []
                 for j in range(len(use)):
                     near = nodes[j][nodes[j] >= 0]

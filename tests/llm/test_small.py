@@ -425,13 +425,16 @@ def test_hnsw(spark):
     assert hnsw.search(hnsw.build_index(few.limit(0)), few.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("clusters, sigma", [(20, 0.1), (40, 0.3), (80, 0.1)])
+@pytest.mark.parametrize("clusters, sigma", [(20, 0.1), (40, 0.3), (80, 0.1), (40, 0.001), (200, 0.001)])
 def test_hnsw_tight_clusters(clusters, sigma):
     rnd = np.random.default_rng(clusters)
     x = np.repeat(rnd.normal(size=(clusters, 64)), 8000 // clusters, 0)
-    x = rnd.permutation(x + sigma * rnd.normal(size=x.shape)).astype(np.float32)
+    x = rnd.permutation(x + sigma * rnd.normal(size=x.shape))
+    if sigma < 0.01:
+        x = (x + 1000) * (1e20 if clusters == 200 else 1)  # far from the origin, and large
     q = np.arange(0, len(x), 40)
-    got, _ = hnsw.Graph.build(x).search(x[q], 11, 256)
+    y = hnsw.framed(x, x)
+    got, _ = hnsw.Graph.build(y).search(y[q], 11, 256)
     hits = []
     for i, near in zip(q, got.tolist()):
         d = ((x - x[i]) ** 2).sum(1)
