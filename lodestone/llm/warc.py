@@ -141,14 +141,21 @@ def read_archive(data: bytes):
             yield bad | {"error": f"no frame at byte {at}"}
             return
         try:
-            one = d.decompressobj()
-            out = one.decompress(view[at:])
-            if not one.eof:
-                raise zstandard.ZstdError("frame is cut off")
+            # a window that grows until the frame ends in it: nothing after the
+            # frame is copied more than a few times
+            window = 1 << 16
+            while True:
+                one = d.decompressobj()
+                out = one.decompress(view[at : at + window])
+                if one.eof:
+                    break
+                if at + window >= len(data):
+                    raise zstandard.ZstdError("frame is cut off")
+                window *= 4
         except zstandard.ZstdError as e:
             yield bad | {"error": f"frame at byte {at}: {e}"}
             return
-        at = len(data) - len(one.unused_data)
+        at = min(at + window, len(data)) - len(one.unused_data)
         try:
             yield _parse(out)
         except (ValueError, KeyError, UnicodeDecodeError) as e:
