@@ -1,10 +1,11 @@
 """Connected components of an edge table.
 
-Tasks first contract their own edges to stars.  Then large and small stars
-alternate: each round is a handful of joins and aggregations, its edges are
-written to the shared scratch space, so lineage stays short and lost executors
-cost one round.
-Nothing is collected but a row count and a checksum.
+Rounds are repeated until all edges are stars: as many tasks as slices of bounded
+size make stars of their edges by union-find, then a large and a small star
+across all of them.  A round is a handful of joins and aggregations, its edges
+are written to the shared scratch space, so lineage stays short and lost
+executors cost one round.
+Nothing is collected but a row count.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-SLICE = 100_000  # edges that a task contracts at once
+SLICE = 300_000  # edges that a task holds and contracts at once
 
 
-def _contracted(e: DataFrame) -> DataFrame:
+def _contracted(e: DataFrame, most: int) -> DataFrame:
     """Edges that connect the same nodes, fewer of them: every task replaces
     each slice of its edges by stars, which union-find makes of it."""
     node = e.schema["u"].dataType.simpleString()
@@ -47,7 +48,7 @@ def _contracted(e: DataFrame) -> DataFrame:
                 if x != y:
                     top[max(x, y)] = min(x, y)
             seen += b.num_rows
-            if seen >= SLICE:
+            if seen >= most:
                 yield stars(kind)
                 top.clear()
                 seen = 0
@@ -57,19 +58,22 @@ def _contracted(e: DataFrame) -> DataFrame:
     return e.mapInArrow(run, f"u {node}, v {node}")
 
 
-def _sum(df: DataFrame):
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
-    return r["n"], r["s"]
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", slice_edges: int = SLICE) -> DataFrame:
     """(node, label) of every node that has an edge to another; the label is
     the smallest node of its component.  Null ends, loops and repeated edges
     are ignored.  Any orderable node type."""
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v")))
-    e = written(_contracted(e).distinct(), "edges")
-    mark = _sum(e)
-    while mark[0]:
+    e = written(e.distinct(), "edges")
+    while n := e.count():
+        tasks = -(-n // slice_edges)
+        e = written(_contracted(e.coalesce(tasks), slice_edges).distinct(), "edges")
+        if tasks == 1:
+            break
+        # stars whose nodes have one neighbour each, which has none above it?
+        twice = e.groupBy("u").count().where("count > 1").select("u")
+        above = e.join(e.select(F.col("v").alias("u")), "u", "left_semi").select("u")
+        if not twice.unionByName(above).take(1):
+            break
         # large star: every larger neighbour of u goes to u's smallest
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -83,10 +87,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .where(F.col("u") > F.col("v")).distinct()
         )
         e = written(small, "edges")
-        now = _sum(e)
-        if now == mark:
-            break
-        mark = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

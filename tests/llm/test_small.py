@@ -150,9 +150,11 @@ def test_ngram_join(spark, texts):
 
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7), (None, 1), (3, 2), (9, 8), (8, 1)], "a long, b long")
-    assert {r.node: r.label for r in components.components(e).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 1, 9: 1}
     path = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(7)
-    assert {r.label for r in components.components(path).collect()} == {0}
+    for size in (4, 1000):  # several slices, and one
+        assert {r.node: r.label for r in components.components(e, slice_edges=size).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 1, 9: 1}
+        got = components.components(path, slice_edges=size).collect()
+        assert {r.label for r in got} == {0} and len(got) == 41
     assert components.components(e.limit(0)).count() == 0
 
 
