@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 from .common import chunks, column, LOWER, mix, prefix_sums, ranges, SPACE, span_hash, task, text_buffers, word_spans
 
 SHORT = 24  # bytes; shorter items are compared exactly
-PER_WALK, MOST_ROUNDS = 8, 96
+PER_WALK, MOST_ROUNDS = 14, 96
 MARGIN = 140  # percent of the repetitions that reach the recall on the edited sample
-BLOCK = 1 << 15  # windows walked at once
+BLOCK = 1 << 17  # windows walked at once
 BLOCK_BYTES = 4 << 20  # of item text sent to the tasks at once
 _FOLD = np.where(SPACE, np.uint8(32), LOWER)
 _WORD = np.array([chr(c).isalnum() and c < 128 or c >= 128 for c in range(256)])
