@@ -1,0 +1,2 @@
+from . import queries  # noqa: F401  (agent_queries adds to its tables)
+from . import agent_queries  # noqa: F401, E402, I001

@@ -278,6 +278,10 @@ def test_agents(spark):
     assert {r.project: r.type for r in agents.project_types(p).collect()} == {"a": "typescript", "b": "unknown", "c": "go"}
     assert one(spark, "class A:\n  pass\ndef f():\n  pass", lambda v: agents.file_summary(F.lit("x.py"), v)) == "4 lines | python | classes: A | functions: f"
     assert one(spark, "f( {", lambda v: agents.truncation_reason(F.lit("a.ts"), v)).startswith("unbalanced {}") and one(spark, "f(')')", lambda v: agents.truncation_reason(F.lit("a.ts"), v)) is None
+    # one very long quote, closed and not: no repetition may recurse by character
+    long = "x\\n" * 200_000
+    assert one(spark, f"f('{long}')", lambda v: agents.truncation_reason(F.lit("a.ts"), v)) is None
+    assert one(spark, f"f('{long}", lambda v: agents.truncation_reason(F.lit("a.ts"), v)).startswith("unbalanced ()")
     c = agents.acceptance_criteria(spark.createDataFrame([(1, "fix the bug")], "id int, text string")).first()
     assert c.verification[0].startswith("Run the project") and len(c.criteria) == 7
     m = spark.createDataFrame([("big-model", "Big Model", 0), ("small", "Small One", 1)], "key string, title string, ordinal int")
