@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from .reach import leads_to
 
 DONE = ["COMPLETED", "SKIPPED"]
 STUCK = ["FAILED", "BLOCKED"]
@@ -35,20 +35,16 @@ def next_step(steps: DataFrame) -> DataFrame:
 
 def block_orphans(steps: DataFrame, transitive: bool = False) -> DataFrame:
     """Pending steps behind failed or blocked ones become BLOCKED: one pass over
-    the statuses as they are, or until nothing changes."""
-    out = steps
-    while True:
-        bad = _edges(out).join(_status(out).where(F.col("dep_status").isin(STUCK)), ["plan_id", "dep"]).groupBy("plan_id", "id").agg(
-            F.sort_array(F.collect_set("dep")).alias("__bad")
-        )
-        got = out.join(bad, ["plan_id", "id"], "left")
-        hit = (F.col("status") == "PENDING") & F.col("__bad").isNotNull()
-        if transitive and not got.where(hit).take(1):
-            return out
-        out = got.withColumn("status", F.when(hit, "BLOCKED").otherwise(F.col("status"))).drop("__bad").select(steps.columns)
-        if not transitive:
-            return out
-        out = cut(out)
+    the statuses as they are, or through any number of pending steps."""
+    pending = F.col("status") == "PENDING"
+    if transitive:
+        node = F.struct("plan_id", "id").alias("node")
+        edges = steps.where(pending).select(node, F.explode("depends_on").alias("dep"), "plan_id").select("node", F.struct("plan_id", F.col("dep").alias("id")).alias("to"))
+        behind = leads_to(edges, steps.where(F.col("status").isin(STUCK)).select(node)).select("node.*")
+    else:
+        behind = _edges(steps).join(_status(steps).where(F.col("dep_status").isin(STUCK)), ["plan_id", "dep"]).select("plan_id", "id").distinct()
+    got = steps.join(behind.withColumn("__bad", F.lit(True)), ["plan_id", "id"], "left")
+    return got.withColumn("status", F.when(pending & F.col("__bad"), "BLOCKED").otherwise(F.col("status"))).select(steps.columns)
 
 
 def progress(steps: DataFrame) -> DataFrame:
@@ -74,16 +70,9 @@ def problems(steps: DataFrame) -> DataFrame:
     known = steps.select("plan_id", F.col("id").alias("dep")).distinct()
     unknown = e.join(known, ["plan_id", "dep"], "left_anti").select("plan_id", "id", F.lit("unknown_dependency").alias("problem")).distinct()
     itself = e.where("id = dep").select("plan_id", "id", F.lit("self_dependency").alias("problem"))
-    # steps that stay when those without open dependencies are taken away
-    edges = cut(e.join(known, ["plan_id", "dep"], "left_semi"))
-    n = edges.count()
-    while True:  # a round takes one step off every chain, and its open edges are all that the next reads
-        edges = cut(edges.join(edges.select("plan_id", F.col("id").alias("dep")).distinct(), ["plan_id", "dep"], "left_semi"))
-        m = edges.count()
-        if m in (0, n):
-            break
-        n = m
-    cycle = edges.select("plan_id", "id").distinct().select("plan_id", "id", F.lit("cycle").alias("problem"))
+    node = lambda c: F.struct("plan_id", F.col(c).alias("id"))
+    edges = e.join(known, ["plan_id", "dep"], "left_semi").select(node("id").alias("node"), node("dep").alias("to"))
+    cycle = leads_to(edges, edges.select("node").limit(0), cycles=True).select("node.*", F.lit("cycle").alias("problem"))
     return twice.unionByName(unknown).unionByName(itself).unionByName(cycle)
 
 
