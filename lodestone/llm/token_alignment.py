@@ -9,10 +9,12 @@ that is Spark's own functions.  ``array_intersect`` of the end arrays gives the
 groups' ends.  For links, the ends of both sides are sorted together, each with
 its own place: in the sorted array an element's place less its own index is the
 number of tokens of the other side before it, so one ``transform`` names the
-token pair at every cut, and no array is searched.  Each cut ends exactly one
-overlap, hence one link (ties are one cut).  Links of a document are counted by
-pair before they leave it; a pair's corpus-wide count is one aggregation, and
-counts come back to documents by a join on the pair.
+token pair at every cut, and no array is searched or copied for an element.
+Each cut ends exactly one overlap, hence one link (ties are one cut).  Counts by
+pair are one aggregation with partial sums in every task.  They come back to
+the documents by a join: broadcast where the counted pairs are few (vocabularies
+bound them, not the corpus; see BROADCAST_PAIRS), else by an exchange of each
+document's own distinct pairs.  Both give the same rows.
 
 Defined cases: a text that is null or empty, or whose tokens' bytes on either
 side are not those of space + text, has no tokens: zeros, and '' for the digest.
@@ -28,27 +30,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .common import chunks, column, task, written
 from .vocabulary import Vocabulary, load
 
-INTS = ArrayType(IntegerType(), False)
+INTS, LONGS = ArrayType(IntegerType(), False), ArrayType(LongType(), False)
 LOW = 2**31 - 1
+SIDE = 2**31  # marks the right side's cuts: after the left side's at the same end
+BROADCAST_PAIRS = 2_000_000  # at most this many counted pairs (about 24 bytes each) are broadcast
 
 
 def _ids_and_ends(vocab: Vocabulary, texts: list[str], whole: list[bytes]):
     """Ids and byte ends of each text, or None where the bytes differ."""
-    given = texts if vocab.leading_space else [" " + x for x in texts]
-    return [(np.array(ids, np.int32), np.cumsum(vocab.sizes[ids], dtype=np.int32)) if vocab.joined(ids) == want else None for ids, want in zip(vocab.encode(given), whole)]
+    out = []
+    for ids, want in zip(vocab.arrays(texts if vocab.leading_space else [" " + x for x in texts]), whole):
+        ends = np.cumsum(vocab.sizes[ids], dtype=np.int64)
+        same = len(ids) and ends[-1] == len(want) and (vocab.lossless or vocab.joined(ids.tolist()) == want)
+        out.append((ids, ends) if same else None)
+    return out
+
+
+COLUMNS = ("a_ids", "a_ends", "a_cuts", "b_ids", "b_ends", "b_cuts")
 
 
 def tokenise(docs: DataFrame, left: str, right: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, a_ids, a_ends, b_ids, b_ends; the ends are byte offsets in space + text."""
+    """id, a_ids, a_ends, a_cuts, b_ids, b_ends, b_cuts; the ends are byte offsets
+    in space + text, the cuts ends with the token's place in the lower half."""
 
     def run(batches):
         a, b = load(left), load(right)
-        nothing = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        nothing = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in chunks(batches, "text", 256 << 10):
             texts = [x or "" for x in column(batch, "text").to_pylist()]
             whole = [(" " + x).encode() for x in texts]
@@ -56,12 +68,17 @@ def tokenise(docs: DataFrame, left: str, right: str, id_col: str = "doc_id", tex
             sides = [(x, y) if t and x and y else (nothing, nothing) for t, (x, y) in zip(texts, sides)]
             lists = []
             for side in (0, 1):
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(s[side][0]) for s in sides])]), pa.int32())
-                lists += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([s[side][k] for s in sides]), pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([column(batch, "id"), *lists], ["id", "a_ids", "a_ends", "b_ids", "b_ends"])
+                size = np.array([len(s[side][0]) for s in sides])
+                offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+                ids, ends = (np.concatenate([s[side][k] for s in sides]) for k in (0, 1))
+                places = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
+                cuts = (ends << 32) | places | (SIDE * side)
+                for values, kind in ((ids, pa.int32()), (ends, pa.int32()), (cuts, pa.int64())):
+                    lists.append(pa.ListArray.from_arrays(offsets, pa.array(values, kind)))
+            yield pa.RecordBatch.from_arrays([column(batch, "id"), *lists], ["id", *COLUMNS])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kinds = StructType([StructField("id", rows.schema["id"].dataType), *[StructField(c, INTS, False) for c in ("a_ids", "a_ends", "b_ids", "b_ends")]])
+    kinds = StructType([StructField("id", rows.schema["id"].dataType), *[StructField(c, LONGS if "cuts" in c else INTS, False) for c in COLUMNS]])
     return rows.mapInArrow(task(run), kinds)
 
 
@@ -69,78 +86,75 @@ def align(tokens: DataFrame, right_size: int) -> DataFrame:
     """Adds n_a, n_b, n_groups, cut_a and cut_b (tokens of each side up to the
     end of each group) and links (left id * right_size + right id, in order)."""
     place = f"cast(v & {LOW}L as int)"
-    # side 0 comes before side 1 at the same end
-    cuts = tokens.withColumn(
-        "cuts",
-        F.expr("sort_array(concat(transform(a_ends, (e, i) -> shiftleft(cast(e as bigint), 32) | i), transform(b_ends, (e, i) -> shiftleft(cast(e as bigint), 32) | 2147483648L | i)))"),
-    )
+    cuts = tokens.withColumn("cuts", F.sort_array(F.concat("a_cuts", "b_cuts")))
     # a link is its code; an end of both sides is minus the tokens up to it
     steps = cuts.withColumn(
         "steps",
         F.expr(f"""transform(cuts, (v, p) -> case
-            when (v & 2147483648L) = 0 then cast(a_ids[{place}] as bigint) * {right_size} + b_ids[p - {place}]
+            when (v & {SIDE}L) = 0 then a_ids[{place}] * {right_size}L + b_ids[p - {place}]
             when shiftright(get(cuts, p - 1), 32) = shiftright(v, 32) then -(shiftleft(cast(p - {place} as bigint), 31) | ({place} + 1))
-            else cast(a_ids[p - {place}] as bigint) * {right_size} + b_ids[{place}] end)"""),
+            else a_ids[p - {place}] * {right_size}L + b_ids[{place}] end)"""),
     )
+    steps = steps.withColumn("ends", F.expr("filter(steps, x -> x < 0)"))
     return steps.select(
         "id", "a_ids", "b_ids",
         F.size("a_ids").cast("long").alias("n_a"), F.size("b_ids").cast("long").alias("n_b"),
         F.size(F.array_intersect("a_ends", "b_ends")).cast("long").alias("n_groups"),
-        F.expr("transform(filter(steps, x -> x < 0), x -> cast(shiftright(-x, 31) as int))").alias("cut_a"),
-        F.expr(f"transform(filter(steps, x -> x < 0), x -> cast(-x & {LOW}L as int))").alias("cut_b"),
+        F.expr("transform(ends, x -> cast(shiftright(-x, 31) as int))").alias("cut_a"),
+        F.expr(f"transform(ends, x -> cast(-x & {LOW}L as int))").alias("cut_b"),
         F.expr("filter(steps, x -> x >= 0)").alias("links"),
     )
 
 
 def groups_text(aligned: DataFrame) -> DataFrame:
     """Adds groups: ``a1,a2|b1;a3|b2,b3`` with decimal ids in order."""
-    named = aligned.withColumns({"a_names": F.col("a_ids").cast("array<string>"), "b_names": F.col("b_ids").cast("array<string>")})
+    starts = lambda c: F.concat(F.array(F.lit(0)), c)
+    ready = aligned.withColumns({
+        "a_names": F.col("a_ids").cast("array<string>"), "b_names": F.col("b_ids").cast("array<string>"),
+        "from_a": starts("cut_a"), "from_b": starts("cut_b"),
+    })
 
-    def side(s: str) -> str:
-        low = f"if(k = 0, 0, cut_{s}[k - 1])"
-        # written twice on purpose: names are worked out once, before the lambda
-        return f"if(cut_{s}[k] - {low} = 1, {s}_names[{low}], array_join(slice({s}_names, {low} + 1, cut_{s}[k] - {low}), ','))"
+    def side(s: str, end: str) -> str:
+        # by places: slice() copies the whole array for every group.  Names and
+        # starts stand here twice, so they are worked out once, before the lambda
+        many = f"array_join(transform(sequence(from_{s}[k], {end} - 1), j -> {s}_names[j]), ',')"
+        return f"if({end} - from_{s}[k] = 1, {s}_names[from_{s}[k]], {many})"
 
-    return named.withColumn("groups", F.expr(f"array_join(transform(cut_a, (c, k) -> concat({side('a')}, '|', {side('b')})), ';')")).drop("a_names", "b_names")
-
-
-def pairs_of(aligned: DataFrame) -> DataFrame:
-    """Adds pairs (distinct links of the row) and times (how often each)."""
-    ordered = aligned.withColumn("ordered", F.sort_array("links"))
-    last = ordered.withColumn("last", F.expr("filter(transform(ordered, (x, p) -> if(x = get(ordered, p + 1), 0, p + 1)), p -> p > 0)"))
-    return last.withColumns({
-        "pairs": F.expr("transform(last, p -> ordered[p - 1])"),
-        "times": F.expr("transform(last, (p, k) -> p - if(k = 0, 0, last[k - 1]))"),
-    }).drop("ordered", "last")
+    text = f"concat({side('a', 'c')}, '|', {side('b', 'cut_b[k]')})"
+    return ready.withColumn("groups", F.expr(f"array_join(transform(cut_a, (c, k) -> {text}), ';')")).drop("a_names", "b_names", "from_a", "from_b")
 
 
 def pair_counts(rows: DataFrame, right_size: int) -> DataFrame:
     """pair, n (links of the corpus), best (no pair with its right id has more)."""
-    counts = rows.select(F.inline(F.arrays_zip("pairs", "times"))).groupBy("pairs").agg(F.sum("times").alias("n"))
+    counts = rows.select(F.explode("links").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
     # at most one row for each left id meets in a group, whatever the corpus
-    top = F.expr(f"max(n) over (partition by pairs % {right_size})")
-    return counts.select(F.col("pairs").alias("pair"), "n", (F.col("n") == top).alias("best"))
+    top = F.expr(f"max(n) over (partition by pair % {right_size})")
+    return counts.select("pair", "n", (F.col("n") == top).alias("best"))
 
 
-def statistics(docs: DataFrame, left: str, right: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def statistics(
+    docs: DataFrame, left: str, right: str, id_col: str = "doc_id", text_col: str = "text", broadcast_pairs: int = BROADCAST_PAIRS
+) -> DataFrame:
     """One row per input row: id, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256."""
     size = len(load(right).pieces)
-    aligned = pairs_of(groups_text(align(tokenise(docs, left, right, id_col, text_col), size)))
+    aligned = groups_text(align(tokenise(docs, left, right, id_col, text_col), size))
     rows = written(
         aligned.select(
             F.monotonically_increasing_id().alias("row"), "id", "n_a", "n_b", "n_groups", F.size("links").cast("long").alias("n_links"),
-            F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"), "pairs", "times",
+            F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"), "links",
         ),
-        "token-pairs",
+        "token-links",
     )
-    each = rows.select("row", F.inline(F.arrays_zip("pairs", "times"))).withColumnRenamed("pairs", "pair")
-    sums = (
-        each.join(pair_counts(rows, size).hint("shuffle_hash"), "pair")
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * F.col("n")).alias("count_sum"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"))
-    )
+    counts = written(pair_counts(rows, size), "token-pairs")
+    each = rows.select("row", F.explode("links").alias("pair"))
+    if counts.count() <= broadcast_pairs:
+        found = each.join(F.broadcast(counts), "pair").withColumn("times", F.lit(1))
+    else:
+        own = each.groupBy("row", "pair").agg(F.count(F.lit(1)).alias("times"))
+        found = own.join(counts.hint("shuffle_hash"), "pair")
+    sums = found.groupBy("row").agg(F.sum(F.col("times") * F.col("n")).alias("count_sum"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return rows.drop("pairs", "times").join(sums, "row", "left").select(
+    return rows.drop("links").join(sums, "row", "left").select(
         F.col("id").alias(id_col), "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256"
     )

@@ -1,6 +1,7 @@
 """Chat formatting, token alignment and the point-in-time join."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -152,9 +153,21 @@ def test_alignment_small(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("pairs", F.lit(1)).withColumn("id", F.lit("x"))
     got = sorted((tuple(r[c] for c in COLS) for r in token_alignment.statistics(df, BYTE, PIECE).collect()), key=repr)
     assert got == brute_alignment(docs)
+    other = token_alignment.statistics(df, BYTE, PIECE, broadcast_pairs=10)  # the way for many pairs
+    assert sorted((tuple(r[c] for c in COLS) for r in other.collect()), key=repr) == got
     assert token_alignment.statistics(df.limit(0), BYTE, PIECE).count() == 0
 
 
+def test_byte_level_ids_are_the_librarys(spark):
+    t, v, rng = _token_bytes()[0], vocabulary.load(BYTE), random.Random(3)
+    some = [*"ab Z é ß×÷ '’\n\t .,;:!?1²½ªº-_ÁñĀɏ—“”‑¡«»日🙂", "'s", " don't", "<|endoftext|>", "  ", "\r\n", ". ", "ing", "tion", " of", "____", "00"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(60))) for _ in range(4000)] + [""]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert v.encode(texts) == want and [a.tolist() for a in v.arrays(texts)] == want
+    every = [f"{c} {c}x 9{c}.{c}" for c in map(chr, range(0x2028)) if vocabulary.PLAIN.fullmatch(c)]
+    assert v.encode(every) == [t.encode(x, add_special_tokens=False).ids for x in every]
+
+
 def test_alignment_other_way_round(spark):
     df = spark.createDataFrame([(1, "Hello wörld")], "doc_id long, text string")
     size = len(vocabulary.load(BYTE).pieces)
@@ -173,7 +186,7 @@ def test_alignment_query(spark):
 
 def test_alignment_has_no_python_after_tokenising(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
-    rest = token_alignment.groups_text(token_alignment.pairs_of(token_alignment.align(token_alignment.tokenise(df, BYTE, PIECE), 32000)))
+    rest = token_alignment.groups_text(token_alignment.align(token_alignment.tokenise(df, BYTE, PIECE), 32000))
     plan = rest._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Python" not in plan
 
