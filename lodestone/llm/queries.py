@@ -38,7 +38,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages WHERE page_id IS NOT NULL),
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 h AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS x FROM p),
 b AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS first FROM h)
 SELECT page_id, payload_bytes,
@@ -46,8 +46,8 @@ SELECT page_id, payload_bytes,
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(x, {5 * (i // 4) + 1}, 5))::BIGINT >> {15 - 5 * (i % 4)}) & 31)::INT, 1)"
     for i in range(32)
 ) + """ AS payload_digest,
-CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to,
+CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to,
 NULL::VARCHAR AS read_error
 FROM b
 """

@@ -3,18 +3,27 @@
 Two passes of one Java regular expression over a whole text give the candidates
 and the text between them, so each candidate knows its neighbouring words:
 
-* private key blocks, from their BEGIN line on,
-* values of 8 or more characters after an assignment sign (quoted: up to the
-  quote; else up to a space, bracket, separator or further sign),
+* private key blocks (PEM, encrypted PEM, PGP) to their END line; where that is
+  missing, the header and base64 lines after BEGIN,
+* the password of ``scheme://user:password@host``,
+* values of 6 or more characters after an assignment sign.  Quoted ones go to
+  their own quote, with white space only where a secret's name is assigned to
+  (else a quoted sentence would hide the candidates in it).  Bare ones go to white
+  space, a quote, bracket or semicolon; ``, : & | =`` belong to them unless at
+  the end or before another ``name=``; a URL is none,
 * runs of 12 or more key characters anywhere.
 
+Shorter values than these are not found, nor values after a name alone, without
+a sign (``password hunter2``).
+
 A random forest over
 
 * length, and share of each character kind,
 * character transitions (changes between lower case, upper case, digit, other),
 * dictionary coverage (letters that belong to words of a word list),
 * the path the text came from, and
-* the words before and after, the name assigned to among them
+* the words before and after, the name assigned to among them, and the place in
+  a URL
 
 decides which candidates are secrets.  It is trained from labelled findings
 (value, left, right, path, label: any table of reviewed findings will do);
@@ -49,11 +58,18 @@ from pyspark.sql import functions as F
 from .common import written
 
 # fixed values: candidates, context words and path words
-BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
-QUOTED = r"(?<=[\"'`])(?<=[=:]\s{0,2}[\"'`])[^\s\"'`]{8,}+(?=[\"'`])"
-BARE = r"(?<=[=:\s])(?<=[=:]\s{0,2})[^\s\"'`<>,;(){}\[\]=:&|]{8,}+"
+_KEY = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_LINES = r"(?:\s{0,4}+(?:[A-Za-z\-]{2,30}: [^\r\n]{0,120}+|[A-Za-z0-9+/=]{16,}+)){0,400}+"
+BLOCK = rf"-----BEGIN {_KEY}(?:[^\-]*+(?:-{{1,4}}+(?!-)[^\-]*+){{0,400}}+-----END {_KEY}|{_LINES})"
+USERINFO = r"(?<=:)(?<=://[^\s/:@\"'<>]{0,64}:)[^\s/@\"'<>]{4,128}+(?=@[A-Za-z0-9\[])"
+_NAMED = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|credential)[A-Za-z0-9_.\-]{0,16}[\"'\])]?\s{0,3}(?::=|=>|[=:])\s{0,3}"
+NAMED = "|".join(rf"(?<={q})(?<={_NAMED}{q})(?=[^{q}\r\n]{{6}})[^{q}\\\r\n]{{0,200}}+(?:\\.[^{q}\\\r\n]{{0,200}}+){{0,20}}+(?={q})" for q in "\"'`")
+QUOTED = r"(?<=[\"'`])(?<=[=:]\s{0,2}[\"'`])[^\s\"'`]{6,}+(?=[\"'`])"
+_BARE = r"[^\s\"'`<>,;(){}\[\]=:&|]++"
+BARE = rf"(?<=[=:\s])(?<=[=:]\s{{0,2}})(?!//|[A-Za-z][A-Za-z0-9+.\-]{{1,15}}://)(?=[^\s\"'`<>;(){{}}\[\]]{{6}}){_BARE}(?:[,:&|=]++(?![A-Za-z_][A-Za-z0-9_.\-]{{0,40}}=){_BARE}){{0,64}}+=*+"
 RUN = r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{12,}+"
-CANDIDATE = f"{BLOCK}|{QUOTED}|{BARE}|{RUN}"
+CANDIDATE = f"{BLOCK}|{USERINFO}|{NAMED}|{QUOTED}|{BARE}|{RUN}"
+LEAST = 6  # shorter candidates are none, but in URLs
 SHAPES = r"AKIA|ASIA|ghp_|gho_|ghs_|glpat-|xox[abpr]-|sk_live_|sk-|rk_live_|AIza|eyJ|-----BEGIN"
 ASSIGNED = r"[=:]\s*[\"'`]?$"
 SECRET_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret)"
@@ -76,9 +92,10 @@ DICTIONARY = (
 ).split()
 FEATURES = [
     "length", "lower", "upper", "digit", "other", "changes", "distinct", "hexadecimal", "coverage", "shape",
-    "secret_before", "digest_near", "assigned", "keyed", "quoted", "joined", "called", "test_path", "config_path",
+    "secret_before", "digest_near", "assigned", "keyed", "quoted", "joined", "called", "test_path", "config_path", "userinfo", "spaces",
 ]
 NEAR = 40  # characters before a candidate that can name it
+USER = r"://[^\s/:@\"'<>]{0,64}:$"
 
 
 def _words() -> str:
@@ -123,6 +140,8 @@ def features(value: Column, left: Column, right: Column, path: Column, kinds: Co
         "called": right.rlike(r"^[.\[({]").cast("double"),
         "test_path": path.rlike(TEST_PATHS).cast("double"),
         "config_path": path.rlike(CONFIG_PATHS).cast("double"),
+        "userinfo": (left.rlike(USER) & right.startswith("@")).cast("double"),
+        "spaces": value.rlike(r"\s").cast("double"),
     }
 
 
@@ -131,7 +150,7 @@ def feature_array(value: Column, left: Column, right: Column, path: Column, kind
     return F.array(*[F.coalesce(made[k].cast("double"), F.lit(0.0)) for k in FEATURES])
 
 
-def labelled_findings(spark: SparkSession, n: int = 6000) -> DataFrame:
+def labelled_findings(spark: SparkSession, n: int = 8000) -> DataFrame:
     """value, left, right, path, label, kind: ``n`` findings made by rule; the
     bound of the training sample."""
     i = F.col("id")
@@ -191,6 +210,22 @@ def labelled_findings(spark: SparkSession, n: int = 6000) -> DataFrame:
         (F.concat(pick("gt", ["get", "read", "load", "fetch", "os.getenv", "request."]), F.initcap(word("a")), F.initcap(word("b"))), F.concat(key, sep), pick("cl", ["(", "[", "(x", "."]), 0),
         (F.concat(between("y1", 1990, 2030).cast("string"), F.lit("-0"), between("y2", 1, 9).cast("string"), F.lit("-1"), between("y3", 0, 9).cast("string")), F.concat(plain, sep, quote), ends, 0),
         (hexes, F.concat(plain, sep, quote), ends, 0),
+        # from here on: the kinds with signs inside, in URLs, with white space, and their look-alikes
+        (F.concat(F.substring(raw64, F.lit(1), between("rl", 10, 42)), pick("in", [":", "&", "|", ",", "="]), F.substring(h("n"), F.lit(1), between("il", 4, 16))), secret, ends, 1),
+        (F.concat(syl("a"), between("y", 1, 99).cast("string"), pick("in", [":", "&", "|", ","]), F.substring(mixed, F.lit(1), between("il", 4, 16))), secret, ends, 1),
+        (F.concat(pick("uc", ["S", "p", "x9", "Q!"]), syl("a"), F.substring(h("n"), F.lit(1), between("il", 2, 10)), pick("sv", ["", "!", "$", "%"])), F.concat(pick("db", ["postgres", "mysql", "mongodb", "amqp", "redis", "https"]), F.lit("://"), word("a"), F.lit(":")), F.concat(F.lit("@"), word("b"), F.lit(".host")), 1),
+        (F.concat_ws(" ", syl("a"), word("b"), syl("c"), F.concat(word("d"), between("y", 1, 99).cast("string")), pick("sv", ["!", "now!", "#7", "$x"])), F.concat(base, sep, pick("q1", ['"', "'"])), pick("q1", ['"', "'"]), 1),
+        (F.concat(F.translate(word("a"), "aeios", "43105"), pick("sv", ["", "", "!", "1"])), F.concat(base, sep, quote), ends, 1),
+        (F.concat(F.lit("-----BEGIN "), pick("pg", ["PGP PRIVATE KEY BLOCK", "RSA PRIVATE KEY"]), F.lit("-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"), F.upper(h("n")), F.lit("\n\n"), F.repeat(F.concat(raw64, F.lit("\n")), 6)), pick("c0", ["", "\n", "key: "]), none, 1),
+        (F.concat(between("t1", 0, 23).cast("string"), F.lit(":"), between("t2", 10, 59).cast("string"), F.lit(":"), between("t3", 10, 59).cast("string")), F.concat(plain, sep), none, 0),
+        (F.concat(between("t2", 10, 59).cast("string"), F.lit(":"), between("t3", 10, 59).cast("string"), pick("tz", ["Z", "", "+00:00", ".5Z"])), F.concat(pick("tw", ["", "time ", "at: "]), between("y1", 1990, 2030).cast("string"), F.lit("-01-1"), between("y3", 0, 9).cast("string"), pick("tx", ["T", " "]), between("t1", 0, 23).cast("string"), F.lit(":")), none, 0),
+        (F.concat(pick("hp", ["localhost", "127.0.0.1", "10.0.0.7", "db.internal"]), F.lit(":"), between("t4", 1000, 9999).cast("string")), F.concat(plain, sep), none, 0),
+        (F.concat(word("a"), F.lit(","), word("b"), pick("lc", ["", ",", "|", ":"]), syl("c")), F.concat(plain, sep), none, 0),
+        (pick("pw", ["string", "required", "optional", "boolean", "undefined", "disabled", "default", "settings.value", "self.value", "None,None"]), F.concat(key, pick("s1", [": ", " = ", "="])), none, 0),
+        (F.concat(word("a"), syl("b")), F.concat(prose, pick("s2", [": ", " = ", ":"])), none, 0),
+        (F.concat_ws(" ", pick("ph", ["enter your", "please type the", "invalid", "the new", "forgot your", "must be a valid"]), base, pick("pt", ["", "here", "again", "or name"])), F.concat(base, sep, pick("q1", ['"', "'"])), pick("q1", ['"', "'"]), 0),
+        (F.concat(word("a"), F.lit("."), F.when(between("ku", 0, 3) == 0, F.upper(word("b"))).otherwise(word("b")), pick("dt", ["", "", ".id", "_key"])), F.concat(key, pick("s1", [": ", " = ", "="])), pick("c7", ["", "(", "["]), 0),
+        (F.concat(between("y1", 1, 99).cast("string"), pick("un", ["px,", "%|", "ms:", "kb,"]), between("t2", 10, 59).cast("string"), pick("uo", ["px", "%", "ms", "kb"])), F.concat(plain, sep), none, 0),
     ]
     path = pick("path", ["", "", "", "src3", "src11", "app/main.py", "config/settings.yml", ".env", "tests/test_auth.py", "docs/example.md"])
     base = written(spark.range(0, n, 1, 1).select("id", *drawn.values()), "findings")
@@ -309,7 +344,8 @@ def _judged(docs: DataFrame, forest: Forest, threshold: float, text_col: str, pa
     # one step each, as nothing within a step is shared
     got = got.withColumn(v, F.transform(v, lambda x: x.withField("near", near_of(x["left"]))))
     made = lambda x: feature_array(x["value"], x["left"], x["right"], F.col(at), x["kinds"], x["near"])
-    got = got.withColumn(f, F.transform(v, lambda x: F.when(open_(x), made(x)) if skip else made(x)))
+    long = lambda x: (F.length(x["value"]) >= LEAST) | x["left"].rlike(USER)
+    got = got.withColumn(f, F.transform(v, lambda x: F.when(long(x) & open_(x) if skip else long(x), made(x))))
     p = F.expr(f"transform(`{f}`, x -> IF(x IS NULL, 0D, {forest.sql('x')}))")
     got = got.withColumn(f, p).withColumn(
         v,

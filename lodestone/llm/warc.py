@@ -12,9 +12,10 @@ writing and Spark's binaryFile source for reading.  A task writes its archives
 under names made of its partition and a part number, first to a temporary name
 of the attempt: a repeated task replaces its own files with equal ones.
 
-Null payloads are empty payloads and are archived as such; null page ids get no
-record (they have no identity) and are left out.  Repeated page ids each get a
-record.  Empty tables give empty archives' tables.  Further columns are ignored.
+Null payloads are empty payloads and are archived as such.  A page without an id
+gets a record under an id of its place in the archive, without the page's header;
+it revisits a page with an equal payload and an id, and is a response where there
+is none.  Repeated page ids each get a record.  Empty tables give empty archives' tables.  Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,20 +46,21 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int) -> str:
+def record_id(page_id: int | str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
 
 
-def record(page_id: int, url: str | None, payload: bytes, size: int, sha: str, refers_to: int | None, date: str) -> bytes:
-    """Bytes of one WARC/1.1 record.  A revisit has an empty block."""
+def record(page_id: int | None, url: str | None, payload: bytes, size: int, sha: str, refers_to: int | None, date: str, place: str = "") -> bytes:
+    """Bytes of one WARC/1.1 record.  A revisit has an empty block.  ``place``
+    names a record without a page id."""
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: {record_id(page_id)}",
+        f"WARC-Record-ID: {record_id(f'at {place}' if page_id is None else page_id)}",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {' '.join((url or '').split()) or 'about:blank'}",
         f"WARC-Payload-Digest: sha1:{sha}",
-        f"X-Page-ID: {page_id}",
+        *([] if page_id is None else [f"X-Page-ID: {page_id}"]),
         f"X-Payload-Length: {size}",
     ]
     if refers_to is not None:
@@ -114,9 +116,9 @@ def _parse(data: bytes) -> dict:
         raise ValueError("revisit with a block or without a target")
     if kind not in ("response", "revisit"):
         raise ValueError(f"record type {kind!r}")
-    refers = fields.get("X-Refers-To-Page-ID")
+    refers, page = fields.get("X-Refers-To-Page-ID"), fields.get("X-Page-ID")
     return {
-        "page_id": int(fields["X-Page-ID"]), "record_type": kind, "refers_to": None if refers is None else int(refers), "payload_bytes": size,
+        "page_id": None if page is None else int(page), "record_type": kind, "refers_to": None if refers is None else int(refers), "payload_bytes": size,
         "payload_digest": sha, "url": fields.get("WARC-Target-URI"), "payload": block if kind == "response" else None, "error": None,
     }
 
@@ -171,14 +173,15 @@ def write_archives(
     the others revisit it."""
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    rows = pages.where(F.col(id_col).isNotNull()).select(
+    rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload")
     )
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "sha": F.sha2("payload", 256)})
-    # who is the response: ids and digests only, the payloads stay where they are
+    # who is the response: one row for each digest that occurs twice; the payloads
+    # meet them by digest (a hot one is split, as any skewed join)
     groups = rows.where(F.col("size") >= min_revisit_bytes).groupBy("sha").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     rows = rows.join(groups.where("n > 1").select("sha", "first"), "sha", "left").select(
-        "page_id", "url", "payload", "size", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to")
+        "page_id", "url", "payload", "size", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to")
     )
 
     def run(batches):
@@ -200,11 +203,12 @@ def write_archives(
             part += 1
             return pa.RecordBatch.from_pydict({"path": [name], "n": [len(records)], "bytes": [len(data)]})
 
-        records, samples, total, sampled = [], [], 0, 0
+        records, samples, total, sampled, seen = [], [], 0, 0, 0
         for b in batches:
             cols = [column(b, c).to_pylist() for c in ("page_id", "url", "payload", "size", "refers_to")]
             for page, url, payload, size, refers in zip(*cols):
-                r = record(page, url, payload, size, digest(payload), refers, date)
+                seen += 1
+                r = record(page, url, payload, size, digest(payload), refers, date, f"{task.partitionId()}/{seen}")
                 records.append(r)
                 total += len(r)
                 if sampled < SAMPLE_BYTES:
