@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import paths, text
+from ..functions import addresses, paths, text
 
 # fixed values: findings by severity and kind
 PATTERNS = [
@@ -115,30 +115,29 @@ def naive_secret_lines(files: DataFrame) -> DataFrame:
 
 # fixed values: addresses that a fetch must not reach
 METADATA_HOSTS = ["metadata.google.internal", "metadata.goog", "metadata.azure.com", "metadata.oraclecloud.com"]
-METADATA_IPS = ["169.254.169.254", "100.100.100.200", "192.0.0.192"]
 DANGEROUS_TYPES = ["application/x-executable", "application/x-sharedlib", "application/x-mach-binary", "application/x-dosexec"]
-PRIVATE = r"^(10\.|192\.168\.|172\.(1[6-9]|2\d|3[01])\.|0\.|192\.0\.0\.|192\.0\.2\.|198\.1[89]\.|198\.51\.100\.|203\.0\.113\.|2[4-5]\d\.)"
 
 
 def url_verdict(url: Column, allowed_hosts: list[str] | None = None, allow_localhost: bool = False, allow_private: bool = False) -> Column:
-    """Why a URL must not be fetched, null if it may; literal addresses only,
-    names are not resolved."""
+    """Why a URL must not be fetched, null if it may; addresses in any way of
+    writing, names are not resolved."""
     scheme = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
     rest = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1)
     host = F.regexp_replace(F.regexp_replace(F.lower(rest), r"\.+$", ""), r"^\[|\]$", "")
-    four = host.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
-    out = (
-        F.when(~scheme.isin("http", "https"), "blocked_scheme")
-        .when(host == "", "empty_host")
-        .when(host.isin(METADATA_HOSTS) | host.isin(METADATA_IPS), "metadata")
-    )
-    if not allow_localhost:
-        out = out.when((host == "localhost") | (four & host.startswith("127.")) | (host == "::1"), "loopback")
-    if not allow_private:
-        out = out.when((four & host.rlike(PRIVATE)) | host.rlike(r"^f[cd][0-9a-f]{2}:"), "private_range")
-    out = out.when((four & host.startswith("169.254.")) | host.rlike(r"^fe[89ab][0-9a-f]:"), "link_local")
-    out = out.when((four & host.rlike(r"^(22[4-9]|23\d)\.")) | host.rlike(r"^ff[0-9a-f]{2}:"), "multicast").when(host.isin("0.0.0.0", "::"), "unspecified")
-    return out if allowed_hosts is None else out.when(~host.isin(allowed_hosts), "not_allowed")
+
+    def judged(x: Column) -> Column:
+        name = x["host"]
+        lies = lambda networks: F.coalesce(addresses.within(x["at"], networks), F.lit(False))
+        out = F.when(name == "", "empty_host").when(name.isin(METADATA_HOSTS) | lies(addresses.METADATA), "metadata")
+        if not allow_localhost:
+            out = out.when((name == "localhost") | lies(addresses.LOOPBACK), "loopback")
+        if not allow_private:
+            out = out.when(lies(addresses.PRIVATE) & ~lies(addresses.NOT_PRIVATE), "private_range")
+        out = out.when(lies(addresses.LINK_LOCAL), "link_local").when(lies(addresses.MULTICAST), "multicast").when(lies(addresses.UNSPECIFIED), "unspecified")
+        return out if allowed_hosts is None else out.when(~name.isin(allowed_hosts), "not_allowed")
+
+    known = addresses.let(host, lambda h: addresses.let(F.struct(h.alias("host"), addresses.address(h).alias("at")), judged))
+    return F.when(~scheme.isin("http", "https"), "blocked_scheme").otherwise(known)
 
 
 def redirect_verdict(original: Column, target: Column, **rules) -> Column:

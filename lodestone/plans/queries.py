@@ -701,12 +701,6 @@ def event_windows(spark, d):
     return t.table(spark, d, "events").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
-@query("e12_key_rotation")
-def key_rotation(spark, d):
-    r = t.table(spark, d, "events").select(F.col("user_id").alias("pool"), F.col("event_id").alias("seq"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("ts"), (F.col("event_type") == "error").alias("limited"))
-    return stateful.rotate_keys(r, ["a", "b", "c"])
-
-
 @query("d21_file_access", "SELECT event_type AS path, count(*) AS accesses, max(ts) AS last_ts, bool_or(event_id % 5 = 0) AS edited, least(10.0::DOUBLE, count(*) + CASE WHEN bool_or(event_id % 5 = 0) THEN 3 ELSE 0 END) AS relevance FROM events GROUP BY 1")
 def file_access(spark, d):
     return documents.file_accesses(t.table(spark, d, "events").select(F.col("event_type").alias("path"), "ts", (F.col("event_id") % 5 == 0).alias("edit")))

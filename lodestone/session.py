@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,16 +26,31 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return b.config(map=SETTINGS | conf).getOrCreate()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared folder that the session names in
+    spark.checkpoint.dir; only in local mode may that be a temporary one."""
+    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _shared(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and sc._jsc.sc().getCheckpointDir().isDefined():
+        folder = sc._jsc.sc().getCheckpointDir().get()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="lodestone-")
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The table, computed once and kept in the shared folder that the session
     names in spark.checkpoint.dir, so that loops neither repeat work nor grow
     their plans.  Only in local mode may the folder be a temporary one."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodestone-"))
+    _shared(df.sparkSession)
     return df.checkpoint()
 
 
