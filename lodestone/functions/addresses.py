@@ -8,12 +8,13 @@ address cannot get it past a range.  Names are not resolved.
 from __future__ import annotations
 
 import ipaddress
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # fixed values: special ranges, and the addresses in them that are not special
 LOOPBACK = ["127.0.0.0/8", "::1/128"]
 PRIVATE = [
@@ -47,11 +48,6 @@ def within(value: Column, networks: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [value.between(*s) for s in spans])
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value worked out once, however often it is used."""
-    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
-
-
 def _v4(host: Column) -> Column:
     """A number from 1 to 4 decimal, octal or hexadecimal parts, the last of
     which fills the bytes that are left; null if it is none."""

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import addresses, paths, text
+from ..functions.binding import let
 
 # fixed values: findings by severity and kind
 PATTERNS = [
@@ -136,7 +137,7 @@ def url_verdict(url: Column, allowed_hosts: list[str] | None = None, allow_local
         out = out.when(lies(addresses.LINK_LOCAL), "link_local").when(lies(addresses.MULTICAST), "multicast").when(lies(addresses.UNSPECIFIED), "unspecified")
         return out if allowed_hosts is None else out.when(~name.isin(allowed_hosts), "not_allowed")
 
-    known = addresses.let(host, lambda h: addresses.let(F.struct(h.alias("host"), addresses.address(h).alias("at")), judged))
+    known = let(host, lambda h: let(F.struct(h.alias("host"), addresses.address(h).alias("at")), judged))
     return F.when(~scheme.isin("http", "https"), "blocked_scheme").otherwise(known)
 
 

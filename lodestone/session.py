@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,3 +60,9 @@ def broadcastable(df, limit_bytes: int = 32 << 20) -> bool:
     tables that were built on the driver always are."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes())) <= limit_bytes
+
+
+def few(df: DataFrame) -> DataFrame:
+    """A table for the small side of a join: broadcast where its size is known to
+    be bounded, else left to Catalyst."""
+    return F.broadcast(df) if broadcastable(df) else df

@@ -7,7 +7,8 @@ step function.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,17 +33,25 @@ def event_stream(spark: SparkSession, path: str, schema: str = EVENTS, max_files
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(path)
 
 
-def fan_out(stream: DataFrame, handlers: list, checkpoint: str, once: bool = False):
-    """Each micro-batch to every handler; one that fails does not stop others."""
+def fan_out(stream: DataFrame, handlers: list, checkpoint: str, once: bool = False, failed: Callable[[object, int, Exception], None] | None = None):
+    """Each micro-batch to every handler; one that fails does not stop others.
+    ``failed`` gets handler, batch number and exception; without one the failure
+    is logged.  What it raises stops the stream, and the batch comes again."""
+
+    def logged(handler, number: int, error: Exception) -> None:
+        name = getattr(handler, "__name__", handler)
+        logging.getLogger(__name__).error("handler %s failed on batch %s", name, number, exc_info=error)
 
     def each(batch: DataFrame, number: int) -> None:
         batch.persist()
-        for h in handlers:
-            try:
-                h(batch, number)
-            except Exception as e:  # noqa: BLE001
-                print(f"handler {getattr(h, '__name__', h)} failed on batch {number}: {e}")
-        batch.unpersist()
+        try:
+            for h in handlers:
+                try:
+                    h(batch, number)
+                except Exception as e:  # noqa: BLE001
+                    (failed or logged)(h, number, e)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
