@@ -1,7 +1,7 @@
 """Tables that change by one published pointer.
 
 A store is a folder.  Spark writes the rows of a change into a folder of their
-own below ``data/``; nothing reads them yet.  When the job has ended, the driver
+own, ``data=<name>``; ``read`` does not know it yet.  When the job has ended, the driver
 publishes the next version: a small file in ``_published/`` that names the
 folders which make up the table.  It is written under another name first and
 then renamed, without overwriting, so a reader sees the old version or the new
@@ -14,6 +14,9 @@ system that makes it so.)
 has published before, or a smaller one, changes nothing.  Streams pass their
 batch id, so a batch that runs again after a failure is not stored twice.
 
+Where rows are only appended, the folder may also be read as it is, as a table
+partitioned by ``data``; it then has what dead writers left complete, too.
+
 Nothing is collected but version files, whose size follows the number of appends
 since the last ``replace`` (or of key buckets), not the rows.
 """
@@ -98,7 +101,7 @@ class Store:
         return self._publish(manifest | changes | {"version": manifest["version"] + 1, "writers": writers})
 
     def _written(self, rows: DataFrame, kind: str = "data", format: str | None = None, by: str | None = None) -> str:
-        folder = f"{kind}/{uuid.uuid4().hex}"
+        folder = f"{kind}{'=' if kind == 'data' else '/'}{uuid.uuid4().hex}"
         out = rows.write.format(format or self.format)
         (out.partitionBy(by) if by else out).save(f"{self.path}/{folder}")
         return folder
@@ -162,7 +165,7 @@ class Store:
         parts = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         dealt = rows.repartitionByRange(parts, key, *order).withColumn("__part", F.spark_partition_id())
         # kept as written: ids must not change if a task is done again
-        staged = self._load([self._written(dealt, "work", "parquet")], dealt.schema.json(), "parquet")
+        staged = self._load([self._written(dealt, "_work", "parquet")], dealt.schema.json(), "parquet")
         counts = staged.groupBy("__part", key).agg(F.count(F.lit(1)).alias("__n"))
         mark_kind = StructType().add("__key", rows.schema[key].dataType).add("__last", "long").json()
         marks = self._load([m["marks"]] if m["marks"] else [], mark_kind, "parquet")
@@ -177,7 +180,7 @@ class Store:
         self._same(m, numbered)
         folder = self._written(numbered)
         now = marks.unionByName(counts.select(F.col(key).alias("__key"), F.col("__n").alias("__last"))).groupBy("__key").agg(F.sum("__last").alias("__last"))
-        return self._next(m, batch, folders=[*m["folders"], folder], schema=m["schema"] or numbered.schema.json(), marks=self._written(now, "marks", "parquet"))
+        return self._next(m, batch, folders=[*m["folders"], folder], schema=m["schema"] or numbered.schema.json(), marks=self._written(now, "_marks", "parquet"))
 
     def upsert(self, rows: DataFrame, keys: list[str], order: str | None = None, buckets: int = 64, batch: tuple[str, int] | None = None) -> int:
         """Rows replace those of their keys.  Of rows that share a key, that with
@@ -218,12 +221,13 @@ class Store:
         used: set[str] = set()
         for v in known[-keep:]:
             m = self.manifest(v)
-            used |= {"/".join(f.split("/")[:2]) for f in [*m["folders"], *([m["marks"]] if m["marks"] else [])]}
+            used |= {f.split("/")[0] for f in m["folders"]} | ({m["marks"]} if m["marks"] else set())
         gone = 0
-        for kind in ("data", "marks", "work"):
-            top = Path(f"{self.path}/{kind}")
-            for s in fs.listStatus(top) if fs.exists(top) else []:
-                if f"{kind}/{s.getPath().getName()}" not in used:
+        for top in ("", "_marks/", "_work/"):
+            folder = Path(f"{self.path}/{top}")
+            for s in fs.listStatus(folder) if fs.exists(folder) else []:
+                name = f"{top}{s.getPath().getName()}"
+                if name not in used and (top or name.startswith("data=")):
                     gone += bool(fs.delete(s.getPath(), True))
         for v in known[:-keep]:
             fs.delete(Path(root, f"{v:020d}.json"), False)

@@ -41,7 +41,7 @@ def test_ids_of_a_hot_key(spark, tmp_path):
     for batch in range(2):
         rows = spark.range(n).selectExpr("if(id % 10 = 0, concat('k', id % 30), 'hot') k", f"cast(id + {batch * n} as int) n")
         store.append_numbered(rows.repartition(4), "x", "k", ["n"], ("w", batch), width=4)
-    assert spark.read.option("recursiveFileLookup", True).parquet(f"{store.path}/work").groupBy("k", "__part").count().where("k = 'hot'").count() > 2
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{store.path}/_work").groupBy("k", "__part").count().where("k = 'hot'").count() > 2
     got = store.read().groupBy("k").agg(F.sort_array(F.collect_list(F.struct("n", "id"))).alias("x")).collect()
     assert {r.k: len(r.x) for r in got} == {"hot": 2 * n * 9 // 10, "k0": 200, "k10": 200, "k20": 200}
     for r in got:
@@ -67,7 +67,7 @@ def test_a_writer_that_dies(spark, tmp_path):
         except Exception as e:  # noqa: BLE001
             failed.append(e)
 
-    files = lambda: len(list((tmp_path / "s/data").rglob("part-*")))
+    files = lambda: len(list((tmp_path / "s").rglob("part-*")))
     before = files()
     t = threading.Thread(target=write)
     t.start()
