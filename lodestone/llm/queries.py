@@ -61,6 +61,21 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
 
 
+_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+v AS (SELECT s.doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS h FROM s JOIN d USING (doc_id)),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM v WHERE h IN (SELECT h FROM v GROUP BY h HAVING count(*) > 1)),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+g AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.k) AS kept FROM x ANTI JOIN c ON c.doc_id = x.doc_id AND c.k = x.k GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(g.kept, '')) AS kept_sha256
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -74,6 +89,17 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(_table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=85)
 
 
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sha256(array_to_string(w[i:i + 3], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n m ON m.doc_id = x JOIN n k ON k.doc_id = y WHERE 100 * common >= 85 * (m.n + k.n - common)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY 1) c USING (doc_id)
+"""
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
 
@@ -180,4 +206,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op11_chat_formatting": OP11_SQL, "op13_point_in_time": OP13_SQL}
+    return {"op1_warc": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op6_ngram_join": OP6_SQL, "op11_chat_formatting": OP11_SQL, "op13_point_in_time": OP13_SQL}
