@@ -46,7 +46,7 @@ from .common import chunks, column, LOWER, mix, prefix_sums, ranges, SPACE, span
 SHORT = 24  # bytes; shorter items are compared exactly
 PER_WALK, MOST_ROUNDS = 14, 96
 MARGIN = 140  # percent of the repetitions that reach the recall on the edited sample
-BLOCK = 1 << 17  # windows walked at once
+BLOCK = 1 << 16  # windows walked at once
 BLOCK_BYTES = 4 << 20  # of item text sent to the tasks at once
 _FOLD = np.where(SPACE, np.uint8(32), LOWER)
 _WORD = np.array([chr(c).isalnum() and c < 128 or c >= 128 for c in range(256)])
@@ -556,7 +556,7 @@ def find(
 
         def run(batches, block=block):
             block = built(block)
-            for b in chunks(batches, "text", 8 << 20):
+            for b in chunks(batches, "text", 4 << 20):
                 got = list(block.matches(b, "text"))
                 ids = column(b, "id")
                 yield pa.RecordBatch.from_arrays(
@@ -586,7 +586,7 @@ def clean(
 
         def run(batches, block=block):
             block = built(block)
-            for b in chunks(batches, text_col, 8 << 20):
+            for b in chunks(batches, text_col, 4 << 20):
                 keep = np.ones(b.num_rows, bool)
                 for doc, *_ in block.matches(b, text_col):
                     keep[doc] = False
