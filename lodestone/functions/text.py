@@ -115,8 +115,12 @@ def is_local_or_url(name: Column) -> Column:
 
 
 def label_name(text: Column, limit: int = 160) -> Column:
-    """A label usable as a file name."""
-    return F.substring(F.regexp_replace(F.regexp_replace(text, r"[^A-Za-z0-9_.-]+", "-"), r"^[-.]+|[-.]+$", ""), 1, limit)
+    """A label usable as a file name: other characters become dashes, dashes and
+    dots at both ends go.  Only the text's beginning is worked on, as far as the
+    label's characters go, and the next letter after them: with one, no end follows."""
+    one = r"(?:[A-Za-z0-9_.-]|[^A-Za-z0-9_.-]++)"
+    head = F.regexp_extract(text, rf"\A[^A-Za-z0-9_]*+({one}{{0,{limit}}}+(?:[^A-Za-z0-9_]*+[A-Za-z0-9_])?+)", 1)
+    return F.substring(F.regexp_replace(F.regexp_replace(head, r"[^A-Za-z0-9_.-]+", "-"), r"(?<![.-])[-.]+\z", ""), 1, limit)
 
 
 def truncate_bytes(raw: Column, limit: int) -> Column:

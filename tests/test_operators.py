@@ -298,3 +298,20 @@ def test_agents(spark):
     import hashlib
 
     assert h.sha256 == hashlib.sha256(b"xy").hexdigest()
+
+
+def test_labels_by_their_beginnings(spark):
+    import random
+    import re
+    import time
+
+    rng = random.Random(1)
+    some = ["a", "Z9", "_", ".", "-", " ", "\n", "é", "--..", "x" * 40, "." * 90, "\u2028", "\r\n"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(14))) for _ in range(1500)] + ["a" * 158 + "-.-!", "a" * 159 + "!" * 9 + ".b", "!" + "a" * 160 + "?", None]
+    df = spark.createDataFrame(enumerate(texts), "i int, text string")
+    want = [None if x is None else re.sub(r"^[-.]+|[-.]+\Z", "", re.sub(r"[^A-Za-z0-9_.-]+", "-", x))[:160] for x in texts]
+    assert [r.x for r in df.select("i", text.label_name(F.col("text")).alias("x")).orderBy("i").collect()] == want
+    long = spark.createDataFrame([(("a" + "-" * 50_000) * 6 + "b",)], "text string")
+    begin = time.monotonic()  # the square of a run of dashes
+    assert long.select(text.label_name(F.col("text")).alias("x")).first().x == "a" + "-" * 159
+    assert time.monotonic() - begin < 4
