@@ -13,6 +13,9 @@ TECHNOLOGY_NAMES = ["next.js", "node.js", "react.js", "vue.js", "angular.js", "t
 # fixed values: words of a step that make it risky
 HIGH_RISK = ["deploy", "migration", "authentication", "security", "dependency", "commit", "database"]
 
+# fixed value: what html.unescape takes for an entity
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
 
 def query_terms(query: Column) -> Column:
     """Distinct lower-cased terms of three letters or more, without stop words,
@@ -40,15 +43,19 @@ def strip_tags(html: Column) -> Column:
 
 
 def html_to_text(html: Column) -> Column:
-    """``strip_tags`` with entities decoded, by an Arrow-batched function."""
+    """``strip_tags`` with entities decoded.  Only the entities themselves go
+    through Python, so its memory does not follow the texts."""
     from html import unescape
 
-    @F.pandas_udf("string")
-    def decode(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else unescape(x))
+    @F.pandas_udf("array<string>")
+    def decode(found: pd.Series) -> pd.Series:
+        return found.map(lambda xs: None if xs is None else [unescape(x) for x in xs])
 
     t = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>", ""), r"<[^>]+>", " ")
-    return F.regexp_replace(F.regexp_replace(decode(t), r"(?U)\s+", " "), r"(?U)^\s+|\s+$", "")
+    decoded = decode(F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0)))
+    # one part more than entities
+    t = F.array_join(F.zip_with(F.split(t, ENTITY, -1), decoded, lambda part, x: F.concat(part, F.coalesce(x, F.lit("")))), "")
+    return F.regexp_replace(F.regexp_replace(t, r"(?U)\s+", " "), r"(?U)^\s+|\s+$", "")
 
 
 def human_size(size: Column) -> Column:

@@ -315,3 +315,16 @@ def test_labels_by_their_beginnings(spark):
     begin = time.monotonic()  # the square of a run of dashes
     assert long.select(text.label_name(F.col("text")).alias("x")).first().x == "a" + "-" * 159
     assert time.monotonic() - begin < 4
+
+
+def test_only_entities_go_through_python(spark):
+    import random
+    from html import unescape
+
+    rng = random.Random(2)
+    some = ["&amp;", "&lt", "&#65;", "&#x41", "&notit;", "&", ";", "&#", "&#xD800;", "é&eacute;", "&unknown;", "x" * 40, "&" + "y" * 40, "&#0;", "&&amp;#38;", "&#1114112;", "&ampx"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(9))) for _ in range(800)]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "i int, html string").select("i", text.html_to_text(F.col("html")).alias("x"))
+    assert [r.x for r in df.orderBy("i").collect()] == [None, *[unescape(x) for x in texts]]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython [decode(regexp_extract_all(" in plan
