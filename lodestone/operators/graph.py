@@ -98,8 +98,8 @@ def impacted_tests(files: DataFrame, changed: DataFrame, edges: DataFrame | None
     seen = start.select("path", F.lit(0).alias("level"), F.lit(True).alias("grows"))
     front = start.select(F.col("path").alias("target"))
     for k in range(depth):
-        reached = edges.join(front, "target").select(F.col("importer").alias("path")).distinct()
-        reached = reached.join(seen.select("path"), "path", "left_anti").join(kind, "path")
+        reached = edges.join(front.hint("merge"), "target").select(F.col("importer").alias("path")).distinct()
+        reached = reached.join(seen.select("path").hint("merge"), "path", "left_anti").join(kind, "path")
         reached = cut(reached.select("path", F.lit(k + 1).alias("level"), (~F.col("is_test")).alias("grows")))
         seen = seen.unionByName(reached)
         front = reached.where("grows").select(F.col("path").alias("target"))

@@ -6,12 +6,15 @@ and pointer doubling sends each to the end of its chain (or finds that it has
 none, which is a cycle); nodes whose targets are all settled go.  Chains and
 trees take a number of rounds that grows with the logarithm of their length.
 What is left branches everywhere and ends nowhere, so all of it leads to a cycle.
+Tables here may be as large as the graph, so joins are merge joins: none is broadcast.
 A graph that branches at every node and still ends (each step depending on the
 two before it) loses a layer a round.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +23,26 @@ from ..session import cut
 
 def _chain_ends(chains: DataFrame) -> DataFrame:
     """(node, to, open) of chains(node, to), one row per node: ``to`` becomes the
-    first node that is no chain's; open: there is none."""
-    names = chains.select("node")
-    at, steps = chains, 0
-    most = max(1, chains.count()).bit_length() + 1
-    while steps < most:
-        ahead = at.select(F.col("node").alias("to"), F.col("to").alias("next"))
-        joined = cut(at.join(ahead, "to", "left").select("node", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")))
-        at, steps = joined.select("node", "to"), steps + 1
-        if not joined.where("moved").take(1):
-            break
-    return cut(at.join(names.withColumnRenamed("node", "to").withColumn("open", F.lit(True)), "to", "left").select("node", "to", F.coalesce("open", F.lit(False)).alias("open")))
+    first node that is no chain's; open: there is none.
+
+    ``low`` is the least node on the way from a node to its ``to``, which is left
+    out.  If it is the least one of the next stretch, too, the way has met it
+    twice, so it goes round: rings are settled by the logarithm of their own length."""
+    going = chains.select("node", "to", F.col("node").alias("low"))
+    settled: list[DataFrame] = []
+    while going.take(1):
+        ahead = going.withColumn("open", F.lit(None).cast("boolean"))
+        for s in settled:
+            ahead = ahead.unionByName(s)
+        ahead = ahead.toDF("to", "next", "low_next", "open_next").withColumn("there", F.lit(True))
+        is_open = F.when(F.col("there").isNull(), F.lit(False)).when(F.col("open_next").isNotNull(), F.col("open_next")).when(F.col("low") == F.col("low_next"), F.lit(True))
+        joined = going.join(ahead.hint("merge"), "to", "left").select(
+            "node", F.when(F.col("there"), F.col("next")).otherwise(F.col("to")).alias("to"), F.least("low", "low_next").alias("low"), is_open.alias("open")
+        )
+        joined = cut(joined)
+        settled.append(joined.where("open is not null"))
+        going = joined.where("open is null").drop("open")
+    return reduce(DataFrame.unionByName, [s.select("node", "to", "open") for s in settled])
 
 
 def leads_to(edges: DataFrame, seeds: DataFrame, cycles: bool = False) -> DataFrame:
@@ -41,10 +53,10 @@ def leads_to(edges: DataFrame, seeds: DataFrame, cycles: bool = False) -> DataFr
     passed: list[DataFrame] = []
     n = left.count()
     while n:
-        hit = left.join(yes.withColumnRenamed("node", "to"), "to", "left_semi").select("node").distinct()
+        hit = cut(left.join(yes.withColumnRenamed("node", "to").hint("merge"), "to", "left_semi").select("node").distinct())
         # nodes that are settled take no further part: those that hit, and targets without edges
-        left = left.join(hit, "node", "left_anti").join(yes, "node", "left_anti")
-        left = cut(left.join(left.select(F.col("node").alias("to")).distinct().unionByName(hit.withColumnRenamed("node", "to")).distinct(), "to", "left_semi"))
+        left = cut(left.join(hit.unionByName(yes).hint("merge"), "node", "left_anti"))
+        left = cut(left.join(left.select(F.col("node").alias("to")).distinct().unionByName(hit.withColumnRenamed("node", "to")).distinct().hint("merge"), "to", "left_semi"))
         yes = cut(yes.unionByName(hit).distinct())
         chains = cut(left.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("to").alias("to")).where("n = 1").drop("n"))
         if chains.take(1):
@@ -53,7 +65,7 @@ def leads_to(edges: DataFrame, seeds: DataFrame, cycles: bool = False) -> DataFr
                 yes = cut(yes.unionByName(ends.where("open").select("node")).distinct())
             closed = ends.where("not open").select("node", F.col("to").alias("end"))
             passed.append(closed)
-            rest = left.join(chains, "node", "left_anti").join(ends.select(F.col("node").alias("to"), "open", F.col("to").alias("end")), "to", "left")
+            rest = left.join(chains.hint("merge"), "node", "left_anti").join(ends.select(F.col("node").alias("to"), "open", F.col("to").alias("end")).hint("merge"), "to", "left")
             if not cycles:  # a chain that never ends leads nowhere
                 rest = rest.where("not coalesce(open, false)")
             left = cut(rest.select("node", F.when(F.col("open"), F.col("to")).otherwise(F.coalesce("end", "to")).alias("to")).distinct())
@@ -64,5 +76,5 @@ def leads_to(edges: DataFrame, seeds: DataFrame, cycles: bool = False) -> DataFr
     if n and cycles:
         yes = yes.unionByName(left.select("node")).distinct()
     for closed in reversed(passed):
-        yes = cut(yes.unionByName(closed.join(yes.withColumnRenamed("node", "end"), "end", "left_semi").select("node")).distinct())
+        yes = cut(yes.unionByName(closed.join(yes.withColumnRenamed("node", "end").hint("merge"), "end", "left_semi").select("node")).distinct())
     return yes

@@ -5,8 +5,9 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lodestone.operators import tasks
+from lodestone.operators import reach, tasks
 from lodestone.operators.reach import leads_to
+from lodestone.session import cut
 
 
 def brute(edges, seeds, cycles):
@@ -66,3 +67,17 @@ def test_plans(spark):
     assert {k for k, v in status.items() if v == "BLOCKED"} == {(1, 1), (1, 2), (1, 3), (1, 5)}
     done = [(1, 1, [], "FAILED"), (1, 2, [1], "COMPLETED"), (1, 3, [2], "PENDING")]
     assert not any(r.status == "BLOCKED" for r in tasks.block_orphans(spark.createDataFrame(done, kind), transitive=True).collect())
+
+
+def test_loops_of_joins_keep_their_size_estimates(spark):
+    at = spark.range(100).selectExpr("id node", "(id + 1) % 100 to")
+    for _ in range(8):
+        at = cut(at.join(at.toDF("to", "next"), "to").selectExpr("node", "next to"))
+    assert int(str(at._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1 << 20
+
+
+def test_short_rings_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(reach, "cut", lambda df: rounds.append(1) or cut(df))
+    ends = reach._chain_ends(spark.range(30_000).selectExpr("id node", "id - id % 3 + (id + 1) % 3 to"))
+    assert ends.where("open").count() == 30_000 and len(rounds) <= 3
