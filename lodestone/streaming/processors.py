@@ -29,7 +29,9 @@ def use_state_store(spark: SparkSession) -> None:
 class KeyRotation(StatefulProcessor):
     """The next key in turn that is not cooling down, else the one free first.
     A limited request sends its key to cool down; the end of the cooldown is an
-    event-time timer, which comes with the watermark though the pool is silent."""
+    event-time timer, which comes with the watermark though the pool is silent.
+    Rows that come at once change the state once: what a later one replaces is
+    neither stored nor given a timer."""
 
     def __init__(self, keys: list[str], cooldown: float):
         self.keys, self.cooldown = list(dict.fromkeys(k for k in keys if k)), cooldown
@@ -40,17 +42,21 @@ class KeyRotation(StatefulProcessor):
         self.until = handle.getMapState("until", "key string", "until double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        at = self.turn.get()[0] if self.turn.exists() else 0
-        until = {k[0]: v[0] for k, v in self.until.iterator()} if self.until.exists() else {}
+        turn = self.turn.get()
+        at = turn[0] if turn is not None else 0
+        until = {k[0]: v[0] for k, v in self.until.iterator()}
+        limited = set()
         for r in sorted(rows, key=lambda r: r.seq):
             order = self.keys[at:] + self.keys[:at]
             chosen = next((k for k in order if r.at >= until.get(k, 0)), None) or min(self.keys, key=lambda k: until.get(k, 0))
             at = (self.keys.index(chosen) + 1) % len(self.keys)
             if r.limited:
                 until[chosen] = r.at + self.cooldown
-                self.until.updateValue((chosen,), (until[chosen],))
-                self.handle.registerTimer(int(until[chosen] * 1000))
+                limited.add(chosen)
             yield Row(pool=key[0], seq=r.seq, key=chosen, event="used")
+        for name in limited:
+            self.until.updateValue((name,), (until[name],))
+            self.handle.registerTimer(int(until[name] * 1000))
         self.turn.update((at,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:

@@ -120,3 +120,18 @@ def test_ledgers_that_grow(spark, tmp_path):
     assert store.append(store.read().limit(3), ("ledger", number)) == version
     log = tail.offsets(spark, str(tmp_path / "cp"))
     assert {r.file.split("/")[-1] for r in log.collect()} == {"events.jsonl", "other0.jsonl", "other1.jsonl", "other2.jsonl"}
+
+
+def test_rotation_writes_its_state_once_a_batch():
+    from types import SimpleNamespace
+
+    calls, kept = [], {}
+    state = SimpleNamespace(
+        exists=lambda: calls.append("exists") or bool(kept), get=lambda: calls.append("get"), update=lambda v: calls.append("update"),
+        iterator=lambda: iter(()), updateValue=lambda k, v: calls.append("put") or kept.update({k: v}),
+    )
+    p = processors.KeyRotation(["a", "b", "c"], 60.0)
+    p.handle, p.turn, p.until = SimpleNamespace(registerTimer=lambda ms: calls.append("timer")), state, state
+    rows = [SimpleNamespace(seq=i, at=100.0 * i, limited=True) for i in range(999)]
+    assert len(list(p.handleInputRows(("p",), iter(rows), None))) == 999
+    assert kept == {("a",): (99660.0,), ("b",): (99760.0,), ("c",): (99860.0,)} and len(calls) <= 10
