@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 
@@ -21,7 +22,7 @@ class Vocabulary:
     arrays; ``pieces``: bytes by id; ``sizes``: their lengths; ``leading_space``:
     whether encoding itself puts a space before the text; ``specials``: strings
     of the file's special tokens; ``lossless``: whether ids always join to the
-    text's bytes."""
+    text's bytes, or else to another number of bytes."""
 
     def __init__(self, encode, pieces: list[bytes], leading_space: bool, specials: list[str], lossless: bool = False, arrays=None):
         self.encode = encode
@@ -44,8 +45,9 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-# fixed value: the word pattern of byte-level files
-WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# fixed value: the word pattern of byte-level files, in a form with the same
+# matches and less to go back over
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: Characters that every version of Unicode puts into the same classes: printable
 #: ASCII and its white space, Latin letters, dashes and quotation marks.
 PLAIN = re.compile("[\t\n\r -~¡-ÿĀ-ɏ‐-‧]*")
@@ -100,9 +102,10 @@ def _byte_level(path: str) -> Vocabulary:
 
     def by(one, other):
         def encode(texts):
-            rest = [x for x in texts if not PLAIN.fullmatch(x)]
+            fits = [bool(PLAIN.fullmatch(x)) for x in texts]
+            rest = [x for x, ok in zip(texts, fits) if not ok]
             others = iter(plain(rest) if rest else [])
-            return [one(x) if PLAIN.fullmatch(x) else other(next(others)) for x in texts]
+            return [one(x) if ok else other(next(others)) for x, ok in zip(texts, fits)]
 
         return encode
 
@@ -110,6 +113,36 @@ def _byte_level(path: str) -> Vocabulary:
     return Vocabulary(by(ranked.encode_ordinary, list), pieces, False, names, every_byte, arrays)
 
 
+PART = 600  # characters, about: the library's queue of merges grows with the text
+
+
+def _parts(text: str) -> list[str]:
+    """The text cut at single places before words: at spaces that follow another
+    character, which the model puts back before each part."""
+    parts, i, at = [], 0, PART
+    while 0 <= (j := text.find(" ", at)) < len(text) - 1:
+        at = j + 1
+        if text[j - 1] not in " ▁":
+            parts.append(text[i:j])
+            i, at = at, at + PART
+    return [*parts, text[i:]]
+
+
+def _by_words(path: str) -> bool:
+    """Whether texts are taken as they are, with a space before them, and no piece
+    goes on over the beginning of a word; ids of each character follow."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    norm, trainer, kinds = proto.normalizer_spec, proto.trainer_spec, pb.ModelProto.SentencePiece
+    as_is = norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces and not norm.precompiled_charsmap
+    marked = trainer.model_type == pb.TrainerSpec.BPE and trainer.byte_fallback and not trainer.treat_whitespace_as_suffix
+    simple = all(p.type in (kinds.NORMAL, kinds.BYTE, kinds.UNKNOWN, kinds.CONTROL) for p in proto.pieces)
+    return bool(as_is and marked and simple) and not any("▁" in p.piece.lstrip("▁") for p in proto.pieces if p.type == kinds.NORMAL)
+
+
 def _sentencepiece(path: str) -> Vocabulary:
     import sentencepiece
 
@@ -119,7 +152,16 @@ def _sentencepiece(path: str) -> Vocabulary:
         piece = sp.id_to_piece(i)
         pieces.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace("▁", " ").encode())
     names = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if sp.is_control(i)]
-    return Vocabulary(lambda texts: sp.encode(texts, num_threads=1), pieces, True, names)
+    if not _by_words(path):
+        return Vocabulary(lambda texts: sp.encode(texts, num_threads=1), pieces, True, names)
+
+    def encode(texts):
+        parts = [_parts(x) for x in texts]
+        ids = iter(sp.encode([x for p in parts for x in p], num_threads=1))
+        return [next(ids) if len(p) == 1 else list(chain.from_iterable(islice(ids, len(p)))) for p in parts]
+
+    # of a text with the mark itself, shorter bytes come back
+    return Vocabulary(encode, pieces, True, names, True)
 
 
 @lru_cache(maxsize=4)

@@ -191,6 +191,22 @@ def test_alignment_has_no_python_after_tokenising(spark):
     assert plan.count("MapInArrow") == 1 and "Python" not in plan
 
 
+def test_alignment_lambdas_stay_short(spark):
+    """Lambdas are interpreted for each token: the query's rows need few steps in them."""
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    rest = token_alignment.groups_text(token_alignment.align(token_alignment.tokenise(df, BYTE, PIECE), 32000))
+    plan = rest.select("n_groups", "groups", "links")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan  # no walk over the places of each group
+
+
+def test_pieces_cut_before_words_have_the_librarys_ids():
+    sp, v, rng = _token_bytes()[1], vocabulary.load(PIECE), random.Random(5)
+    some = [*"ab Z é.,1\n\t日🙂", " ", " ", "  ", "▁", "ing ", "tion", " of", "\x00", "<s>"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(4000))) for _ in range(150)] + ["", " ", " " * 2000, "x" * 599 + " ", "x" * 600 + "  y", "x" * 3000]
+    assert max(len(vocabulary._parts(x)) for x in texts) > 3
+    assert v.encode(texts) == sp.encode(texts)
+
+
 # --------------------------------------------------------- point in time
 
 
