@@ -77,16 +77,11 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             doc = np.repeat(np.arange(len(n)), n)
             some = np.flatnonzero(n > 0)
             s = np.zeros((len(n), 2), np.uint64)
-            wide = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
-            edge = np.concatenate([[0], np.cumsum(wide)])
-            sketch = np.zeros(edge[-1] // 8, np.uint8)
             short = np.zeros((len(n), BITS // 8), np.uint8)
             if len(g):
                 s[some, 0] = np.add.reduceat(mix(g * COEF[20]), first[some])
                 s[some, 1] = np.add.reduceat(mix(g ^ COEF[21]), first[some])
-                bit = edge[doc] + ((mix(g * COEF[22]) >> np.uint64(24)).astype(np.int64) & (wide[doc] - 1))
-                sketch = np.packbits((np.bincount(bit, minlength=edge[-1]) & 1).astype(np.uint8))
-                bit = doc * BITS + (bit - edge[doc]) % BITS
+                bit = doc * BITS + (_bits(g) & (BITS - 1))
                 short = np.packbits((np.bincount(bit, minlength=len(n) * BITS) & 1).astype(np.uint8)).reshape(len(n), -1)
             need = n - (n * percent + 99) // 100 + 1
             need[n == 0] = 0
@@ -95,14 +90,34 @@ def _describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     column(b, "id"), column(b, "row"), pa.array(n, pa.int64()),
-                    pa.array([r.tobytes() for r in s], pa.binary()), pa.array([sketch[i // 8 : j // 8].tobytes() for i, j in zip(edge[:-1], edge[1:])], pa.binary()),
-                    pa.array([r.tobytes() for r in short], pa.binary()),
+                    pa.array([r.tobytes() for r in s], pa.binary()), pa.array([r.tobytes() for r in short], pa.binary()),
                     pa.array([front[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
                 ],
-                ["id", "row", "n", "c", "sketch", "short", "front"],
+                ["id", "row", "n", "c", "short", "front"],
             )
 
-    return docs.mapInArrow(task(run), "id long, row binary, n long, c binary, sketch binary, short binary, front binary")
+    return docs.mapInArrow(task(run), "id long, row binary, n long, c binary, short binary, front binary")
+
+
+def _bits(g: np.ndarray) -> np.ndarray:
+    """Places of n-grams in a parity sketch, modulo its bits."""
+    return (mix(g * COEF[22]) >> np.uint64(24)).astype(np.int64)
+
+
+def _sketches(docs: DataFrame, k: int) -> DataFrame:
+    """(row, sketch) of each text, with 4 to 8 bits for each n-gram."""
+
+    def run(batches):
+        for b in chunks(batches, "text"):
+            g, first = shingle_sets(*text_buffers(column(b, "text")), k)
+            n = np.diff(first)
+            wide = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+            edge = np.concatenate([[0], np.cumsum(wide)])
+            bit = np.repeat(edge[:-1], n) + (_bits(g) & np.repeat(wide - 1, n))
+            sketch = np.packbits((np.bincount(bit, minlength=edge[-1]) & 1).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([column(b, "row"), pa.array([sketch[i // 8 : j // 8].tobytes() for i, j in zip(edge[:-1], edge[1:])], pa.binary())], ["row", "sketch"])
+
+    return docs.select("row", "text").mapInArrow(task(run), "row binary, sketch binary")
 
 
 def _entries(info: DataFrame) -> DataFrame:
@@ -179,26 +194,32 @@ def _columns(percent: int):
     return run
 
 
-def _blocks_of(info: DataFrame, percent: int) -> DataFrame:
+def _blocks_of(info: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Blocks of the matrix: key, c, n, sketch, cols and places (plain arrays: 12
     bytes an entry instead of 32 as structs).
 
     Near copies share nearly all columns, which so come into one block, where
-    each of their pairs is met once."""
+    each of their pairs is met once.  Longer sketches are made from the texts of
+    the rows left, which are few; for all rows they would be written for nothing."""
     buckets = width(info.sparkSession)
     e = _entries(info).repartition(buckets, "g").mapInArrow(task(_columns(percent)), "key long, c binary, g long, place long")
     rows = e.groupBy("key", "c").agg(F.collect_list(F.struct("g", "place")).alias("x"))
     plain = F.transform("x", lambda x: x["g"]).alias("cols"), F.transform("x", lambda x: x["place"].cast("int")).alias("places")
     rows = written(rows.select("key", "c", *plain), "ngram-rows")
 
-    def classes(sketch: str, some: DataFrame) -> DataFrame:
+    def classes(what: str, some: DataFrame) -> DataFrame:
         keys = some.select("c").distinct()
-        return sieved(info.select("c", "n", sketch), keys, "c", some.count()).groupBy("c").agg(F.first("n").alias("n"), F.first(sketch).alias("sketch"))
+        return sieved(info.select("c", "n", what), keys, "c", some.count()).groupBy("c").agg(F.first("n").alias("n"), F.min(what).alias(what))
 
-    with_short = rows.join(classes("short", rows), "c").select("key", "c", "n", "sketch", "cols", "places")
+    short = classes("short", rows).withColumnRenamed("short", "sketch")
+    with_short = rows.join(short, "c").select("key", "c", "n", "sketch", "cols", "places")
     left = written(with_short.repartition(buckets, "key").mapInArrow(task(_survivors(percent)), "key long, c binary"), "ngram-left")
     rows = rows.join(left, ["key", "c"], "left_semi")
-    return rows.join(classes("sketch", left), "c").select("key", "c", "n", "sketch", "cols", "places")
+    # a class's sketch is that of its least row
+    least = written(classes("row", left).join(left.select("c"), "c", "left_semi"), "ngram-least")
+    texts = sieved(docs.select("row", "text"), least, "row", least.count())
+    sketches = _sketches(texts, k).groupBy("row").agg(F.first("sketch").alias("sketch")).join(least, "row")
+    return rows.join(sketches, "c").select("key", "c", "n", "sketch", "cols", "places")
 
 
 def _survivors(percent: int):
@@ -500,7 +521,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     info = written(_describe(docs, k, percent), "ngram-info")
     linked = info.where(F.col("id").isNotNull() & (F.col("n") > 0))
     pair = "a binary, b binary"
-    blocks = written(_blocks_of(linked, percent), "ngram-blocks")
+    blocks = written(_blocks_of(linked, docs, k, percent), "ngram-blocks")
     forest = written(blocks.repartition(n, "key").mapInArrow(task(_spanning(percent)), pair).distinct(), "ngram-forest")
     # whoever may link with anyone is in a forest: all others have no part in what follows
     members = forest.select(F.explode(F.array("a", "b")).alias("c")).distinct()

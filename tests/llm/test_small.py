@@ -148,6 +148,17 @@ def test_ngram_join(spark, texts):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and len(got) == len(want)
 
 
+def test_ngram_join_writes_long_sketches_of_few(spark):
+    """The table of all documents has short sketches; long ones fold to them."""
+    docs = frame(spark, dict(enumerate(["a b c d", " ".join(map(str, range(900))), "", "x"]))).selectExpr("doc_id as id", "text", "unhex(md5(text)) as row")
+    info = ngram_join._describe(docs, 4, 85)
+    assert info.columns == ["id", "row", "n", "c", "short", "front"]
+    long = {bytes(r.row): np.frombuffer(r.sketch, np.uint8).reshape(-1, ngram_join.BITS // 8) for r in ngram_join._sketches(docs, 4).collect()}
+    assert max(map(len, long.values())) == 4
+    for r in info.collect():
+        assert np.bitwise_xor.reduce(long[bytes(r.row)], axis=0).tobytes() == bytes(r.short)
+
+
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7), (None, 1), (3, 2), (9, 8), (8, 1)], "a long, b long")
     path = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(7)
